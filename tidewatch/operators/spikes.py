@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.config import DEFAULTS, Params
+from tidewatch.config import DEFAULTS, SPIKE_HISTORY, SPIKE_MULTIPLIER, Params
 from tidewatch.functions.columns import guarded_ratio, spike_flag, window_bounds
 
 
@@ -56,10 +56,10 @@ def spikes(events: DataFrame, params: Params = DEFAULTS, time_col: str = "event_
     return spikes_from_counts(minute_counts(events, params, time_col), params)
 
 
-def spike_step(history: list[int], count: int, params: Params = DEFAULTS):
+def spike_step(history: list[int], count: int, keep: int = SPIKE_HISTORY, multiplier: float = SPIKE_MULTIPLIER):
     """Pure form of the rule: returns (average, ratio, is_spike, new_history)."""
     avg = (sum(history) / len(history)) if history else 0.0
-    is_spike = bool(history) and count > avg * params.spike_multiplier
+    is_spike = bool(history) and count > avg * multiplier
     ratio = 0.0 if avg == 0.0 else count / avg
-    new_hist = (list(history) + [int(count)])[-params.spike_history:]
+    new_hist = (list(history) + [int(count)])[-keep:]
     return avg, ratio, is_spike, new_hist

@@ -113,3 +113,14 @@ LIMIT 20""",
 SELECT date_trunc('hour', window_start) AS hour_bucket, server_name, CAST(sum(edit_count) AS BIGINT) AS total_edits
 FROM trending GROUP BY 1, 2 ORDER BY hour_bucket DESC, total_edits DESC, server_name""",
 }
+
+# Stream keys: the wire form carries whole epoch seconds, so event time is
+# truncated to the second; after the flush batches every span has expired.
+_BASE_WIRE = _BASE.replace("ts AS event_time", "make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS event_time")
+
+ORACLE_SQL.update({
+    "trending_stream": _BASE_WIRE + _TRENDING + "SELECT * FROM trending",
+    "editors_stream": _BASE_WIRE + _SPANS
+    + 'SELECT "user", span_start, total_edits, last_activity, TRUE AS is_expired FROM spans',
+    "spikes_stream": _BASE_WIRE + _spikes(21_600_000_000, 2.0) + "SELECT * FROM sp",
+})

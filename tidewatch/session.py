@@ -41,6 +41,7 @@ def build_session(
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.python.unix.domain.socket.enabled": "true",
+        "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
