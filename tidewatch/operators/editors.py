@@ -40,9 +40,10 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
     """W2/W3 per edit: user, id, event_time, span_start, total_edits, last_activity."""
     gap = duration_us(params.editor_idle)
     t = F.unix_micros(F.col(time_col))
+    # Both the row pass and the bucket summary read exactly these four columns, so
+    # their shuffle on (user, bucket) is one exchange, reused by the second branch.
     base = events.where(F.col(time_col).isNotNull()).select(
-        F.col("user"), F.col(id_col).alias("_id"), F.col(time_col).alias("_ts"),
-        t.alias("_t"), F.floor(t / F.lit(gap)).cast("long").alias("_b"),
+        F.col("user"), F.col(id_col).alias("_id"), t.alias("_t"), F.floor(t / F.lit(gap)).cast("long").alias("_b"),
     )
 
     # 1. in-bucket pass: predecessor, row number, last in-bucket span start so far
@@ -51,7 +52,7 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
     inner = F.col("_prev").isNotNull() & ((F.col("_t") - F.col("_prev")) >= F.lit(gap))
     e1 = e1.select("*", F.when(inner, F.col("_t")).alias("_is_t"), F.when(inner, F.col("_rn")).alias("_is_rn"))
     e1 = e1.select(
-        "user", "_id", "_ts", "_t", "_b", "_rn", "_is_t", "_is_rn",
+        "user", "_id", "_t", "_b", "_rn", "_is_t", "_is_rn",
         F.max("_is_t").over(_running(w_in)).alias("_seg_t"),
         F.max("_is_rn").over(_running(w_in)).alias("_seg_rn"),
     )
@@ -81,7 +82,7 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
 
     # 3. bring the carries back to the rows (null-safe on user: null editors form one key)
     j = e1.join(s, on=[F.col("user").eqNullSafe(F.col("_su")), F.col("_b") == F.col("_sb")]).select(
-        "user", "_id", "_ts", "_rn", "_seg_t", "_seg_rn", "_first", "_fs", "_Cp", "_carry_t", "_carry_k",
+        "user", "_id", "_t", "_rn", "_seg_t", "_seg_rn", "_first", "_fs", "_Cp", "_carry_t", "_carry_k",
     )
     seg0 = F.col("_seg_rn").isNull()
     span_start = F.when(seg0, F.when(F.col("_fs"), F.col("_first")).otherwise(F.col("_carry_t"))).otherwise(
@@ -91,10 +92,10 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
     return j.select(
         F.col("user"),
         F.col("_id").alias(id_col),
-        F.col("_ts").alias("event_time"),
+        F.timestamp_micros("_t").alias("event_time"),
         F.timestamp_micros(span_start).alias("span_start"),
         total.cast("long").alias("total_edits"),
-        F.col("_ts").alias("last_activity"),
+        F.timestamp_micros("_t").alias("last_activity"),
     )
 
 
