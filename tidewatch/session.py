@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -94,4 +95,39 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "ensure_utc", "shared_root", "scratch_path", "local_path", "os"]
+__all__ = ["build_session", "ensure_utc", "shared_root", "scratch_path", "local_path", "require_rocksdb",
+           "drained_stream_settings"]
+
+
+def require_rocksdb(spark: SparkSession) -> None:
+    """``transformWithState`` runs only on the RocksDB state store; set it on a
+    caller's session when it names another provider.  A restarted query keeps the
+    provider recorded in its checkpoint."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+@contextmanager
+def drained_stream_settings(spark: SparkSession):
+    """Settings for a finite, drained replay on a caller's session, restored after.
+
+    The shuffle width of a stateful query is fixed at its first batch; a replay
+    started on a session with the 200-partition default would run 200 state-store
+    tasks per micro-batch, so it is capped at the cluster's default parallelism.
+    """
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        require_rocksdb(spark)
+        width = spark.sparkContext.defaultParallelism
+        if int(saved[keys[0]] or 200) > width:
+            spark.conf.set(keys[0], str(width))
+        yield
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, Params, duration_us
 from tidewatch.operators.spikes import minute_counts
+from tidewatch.session import require_rocksdb
 from tidewatch.operators.trending import trending
 from tidewatch.streaming.processors import EDITOR_OUT, SPIKE_OUT, EditorProcessor, SpikeProcessor
 from tidewatch.streaming.sinks import append_stream, apply_trigger, idempotent_batch_writer, update_stream
@@ -69,12 +70,14 @@ def start_trending(events_wm, path, checkpoint, params: Params = DEFAULTS, trigg
 
 def start_editors(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
                   query_name="active_editors", strict_gap=False):
+    require_rocksdb(events_wm.sparkSession)
     return update_stream(editors_frame(events_wm, params, strict_gap), path, checkpoint, query_name, fmt, trigger)
 
 
 def start_spikes(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
                  query_name="edit_spike_detector", mode="final", expiry="processing_time", ttl=None):
     spark = events_wm.sparkSession
+    require_rocksdb(spark)
     if mode == "live":
         spark.conf.set(CHAINED_CHECK, "false")
     df = spikes_frame(events_wm, params, mode, expiry, ttl)

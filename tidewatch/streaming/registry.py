@@ -17,7 +17,7 @@ from tidewatch.functions.columns import to_ntz
 from tidewatch.operators import editor_spans, latest_per_key, spikes, trending
 from tidewatch.plans.registry import WIDE_SPIKES, _edits
 from tidewatch.plans.serve import table_stats
-from tidewatch.session import ensure_utc, scratch_path, shared_root
+from tidewatch.session import drained_stream_settings, ensure_utc, scratch_path, shared_root
 from tidewatch.sources import change_events, from_json_files
 from tidewatch.streaming.app import await_all
 from tidewatch.streaming.jobs import start_editors, start_spikes, start_trending
@@ -45,8 +45,9 @@ def _input(spark: SparkSession, sf_dir: str) -> str:
 def _run(spark, sf_dir, name, starter, **kw) -> str:
     src = from_json_files(spark, _input(spark, sf_dir))
     root = scratch_path(spark, name)
-    q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
-    await_all([q])
+    with drained_stream_settings(spark):
+        q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
+        await_all([q])
     return f"{root}/table"
 
 
