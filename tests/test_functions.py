@@ -62,3 +62,33 @@ def test_column_helpers(spark):
     assert out[1].ph == [7] and out[1].hm == 0.0 and out[1].gr == 0.0 and out[1].blank
     assert out[2].ph == [5] * 9 + [9] and out[2].gr == 0.0 and not out[2].blank
     assert [r.r2 for r in out] == [2.68, 1.01, 0.13]  # HALF_UP on the decimal text
+
+
+def _scalar_spans(times, total, last, span, idle):
+    closed = []
+    for t in times:
+        if last is not None and t - last >= idle:
+            closed.append((total, last, span))
+            total, last, span = 0, None, None
+        total += 1
+        last = t if last is None else max(last, t)
+        span = t if span is None else span
+    return closed, (total, last, span)
+
+
+def test_split_spans_matches_scalar_scan():
+    import random
+
+    import numpy as np
+
+    from tidewatch.streaming.processors import split_spans
+
+    rng = random.Random(3)
+    for _ in range(300):
+        n = rng.randint(1, 30)
+        times = sorted(rng.choice([0, 10, 3_599_999, 3_600_000, 3_600_001, 9_000_000]) * k // 3 + rng.randint(0, 5)
+                       for k in range(n))
+        state = rng.choice([(0, None, None), (4, times[0] - rng.choice([1, 3_600_000, 7_200_000]), 0),
+                            (2, times[-1] + 5, 0)])
+        got = split_spans(np.array(times, dtype="int64"), *state, 3_600_000)
+        assert got == _scalar_spans(times, *state, 3_600_000), (times, state)

@@ -33,7 +33,7 @@ def editors_frame(events_wm: DataFrame, params: Params = DEFAULTS, strict_gap: b
     rows are filtered before the processor.
     """
     inp = events_wm.select("user", "id", "event_time", F.unix_millis("event_time").alias("event_ms"))
-    out = inp.groupBy("user").transformWithState(
+    out = inp.groupBy("user").transformWithStateInPandas(
         EditorProcessor(duration_us(params.editor_idle) // 1000, strict_gap), EDITOR_OUT, "Update", "EventTime")
     return out.select("user", "total_edits", F.timestamp_millis("last_ms").alias("last_activity"),
                       "is_expired", F.timestamp_millis("span_ms").alias("span_start"))
@@ -55,7 +55,7 @@ def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "f
     ttl_ms = duration_us(ttl or params.spike_ttl) // 1000
     proc = SpikeProcessor(params.spike_history, params.spike_multiplier, ttl_ms, mode,
                           event_time=(expiry == "event_time"))
-    out = inp.groupBy("title").transformWithState(
+    out = inp.groupBy("title").transformWithStateInPandas(
         proc, SPIKE_OUT, "Append" if mode == "final" else "Update",
         "EventTime" if expiry == "event_time" else "ProcessingTime")
     return out.select("article_title", F.timestamp_millis("start_ms").alias("window_start"),

@@ -1,12 +1,13 @@
 """Keyed state for the two continuous analyses.
 
-Both run under ``groupBy(key).transformWithState(...)`` (RocksDB state store),
-so state lives on the executors, partitioned by key, and is checkpointed with
-the query.  The processors only see the rows of one key in one micro-batch --
-for editors the (user, event time) pairs, for spikes the already-aggregated
-window counts -- and keep O(1) (editors) or O(history) (spikes) state per key.
-Times cross the boundary as epoch milliseconds computed in the JVM; output
-millis are turned back into timestamps by the caller (``jobs.py``).
+Both run under ``groupBy(key).transformWithStateInPandas(...)`` (RocksDB state
+store), so state lives on the executors, partitioned by key, and is
+checkpointed with the query.  A key's rows of one micro-batch arrive as
+Arrow-backed pandas frames and are reduced with vectorised numpy (count, max,
+gap detection), never row by row.  The processors keep O(1) (editors) or
+O(history) (spikes) state per key.  Times cross the boundary as epoch
+milliseconds computed in the JVM; output millis are turned back into
+timestamps by the caller (``jobs.py``).
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.operators.spikes import spike_step
@@ -38,15 +40,55 @@ def _reset_timers(handle: StatefulProcessorHandle, expiry_ms: int) -> None:
     handle.registerTimer(int(expiry_ms))
 
 
+EDITOR_COLS = ["user", "total_edits", "last_ms", "is_expired", "span_ms"]
+SPIKE_COLS = ["article_title", "start_ms", "end_ms", "current_edit_count", "historical_average",
+              "spike_multiplier", "is_spike"]
+
+
+def _editor_frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=EDITOR_COLS).astype(
+        {"total_edits": "int64", "last_ms": "int64", "is_expired": "bool", "span_ms": "int64"})
+
+
+def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int):
+    """Strict-gap update on one key's sorted batch times (epoch ms).
+
+    Returns (closed spans as (total, last, span) tuples, new (total, last, span)).
+    A span closes at any gap >= ``idle_ms`` from the running latest time."""
+    n = len(times)
+    if n == 0:
+        return [], (total, last, span)
+    lead = times[0] if last is None else last
+    prev = np.maximum.accumulate(np.concatenate(([lead], times)))[:-1]
+    brk = (times - prev) >= idle_ms
+    if last is None:
+        brk[0] = False
+    starts = np.flatnonzero(brk)
+    bounds = np.concatenate(([0], starts, [n]))
+    closed = []
+    cur_total, cur_last, cur_span = total, last, span if last is not None else int(times[0])
+    for k in range(len(bounds) - 1):
+        lo, hi = bounds[k], bounds[k + 1]
+        if k > 0:
+            closed.append((cur_total, cur_last, cur_span))
+            cur_total, cur_last, cur_span = 0, None, int(times[lo])
+        if hi > lo:
+            seg_max = int(times[hi - 1])
+            cur_total += int(hi - lo)
+            cur_last = seg_max if cur_last is None else max(cur_last, seg_max)
+    return closed, (cur_total, cur_last, cur_span)
+
+
 class EditorProcessor(StatefulProcessor):
     """Running edit count and last activity per editor, expired ``idle_ms`` of
     event time after the last edit (the watermark must pass the deadline).
 
     ``strict_gap=False`` is the defined behaviour: every edit of a batch is added
-    to the running total whatever its gap.  ``strict_gap=True`` sorts the batch's
-    edits by time and closes the span at any gap of ``idle_ms`` or more, emitting
-    the old span as expired first; for in-order input its final rows equal the
-    batch twin ``editor_spans`` regardless of micro-batch boundaries.
+    to the running total whatever its gap -- a count and a max per frame, so a
+    hot editor's rows are never held in memory.  ``strict_gap=True`` sorts the
+    key's batch times and closes the span at any gap of ``idle_ms`` or more,
+    emitting the old span as expired first; for in-order input its final rows
+    equal the batch twin ``editor_spans`` regardless of micro-batch boundaries.
     """
 
     def __init__(self, idle_ms: int, strict_gap: bool = False):
@@ -57,38 +99,38 @@ class EditorProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("editor", EDITOR_STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         user = key[0]
         cur = self.state.get()
-        total, last, span = (cur[0], cur[1], cur[2]) if cur is not None else (0, None, None)
+        total, last, span = (int(cur[0]), int(cur[1]), int(cur[2])) if cur is not None else (0, None, None)
+        out = []
         if self.strict_gap:
-            times = sorted((r.event_ms, r.id if r.id is not None else 0) for r in rows)
-            for t, _ in times:
-                if last is not None and t - last >= self.idle_ms:
-                    yield Row(user=user, total_edits=total, last_ms=last, is_expired=True, span_ms=span)
-                    total, last, span = 0, None, None
-                total += 1
-                last = t if last is None else max(last, t)
-                span = t if span is None else span
+            frames = [pdf[["event_ms", "id"]] for pdf in rows]
+            batch = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+            times = batch.sort_values(["event_ms", "id"], kind="stable")["event_ms"].to_numpy(dtype="int64")
+            closed, (total, last, span) = split_spans(times, total, last, span, self.idle_ms)
+            out += [(user, t, l, True, s) for t, l, s in closed]
         else:
             n, lo, hi = 0, None, None
-            for r in rows:
-                n += 1
-                lo = r.event_ms if lo is None else min(lo, r.event_ms)
-                hi = r.event_ms if hi is None else max(hi, r.event_ms)
+            for pdf in rows:
+                col = pdf["event_ms"]
+                n += len(col)
+                lo = int(col.min()) if lo is None else min(lo, int(col.min()))
+                hi = int(col.max()) if hi is None else max(hi, int(col.max()))
             total += n
             base = 0 if last is None else last  # a new editor starts from epoch 0
             last = max(base, hi) if hi is not None else base
             span = span if span is not None else lo
         self.state.update((total, last, span))
         _reset_timers(self.handle, last + self.idle_ms)
-        yield Row(user=user, total_edits=total, last_ms=last, is_expired=False, span_ms=span)
+        out.append((user, total, last, False, span))
+        yield _editor_frame(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         cur = self.state.get()
         if cur is not None:
             self.state.clear()
-            yield Row(user=key[0], total_edits=cur[0], last_ms=cur[1], is_expired=True, span_ms=cur[2])
+            yield _editor_frame([(key[0], int(cur[0]), int(cur[1]), True, int(cur[2]))])
 
     def close(self) -> None:
         pass
@@ -121,27 +163,27 @@ class SpikeProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("spike", SPIKE_STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         title = key[0]
         cur = self.state.get()
-        hist = list(cur[0]) if cur is not None and cur[0] is not None else []
-        windows = sorted(((r.start_ms, r.end_ms, r.edit_count) for r in rows), key=lambda w: (w[0], w[1]))
+        hist = [int(x) for x in cur[0]] if cur is not None and cur[0] is not None else []
+        frames = list(rows)
+        wins = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        wins = wins.sort_values(["start_ms", "end_ms"], kind="stable")
         if self.mode == "live":
-            windows = [max(windows, key=lambda w: w[1])]
+            wins = wins.loc[[wins["end_ms"].idxmax()]]
         out = []
-        for start, end, n in windows:
-            avg, ratio, spike, hist = spike_step(hist, n, self.history, self.multiplier)
-            out.append(Row(article_title=title, start_ms=start, end_ms=end, current_edit_count=n,
-                           historical_average=float(avg), spike_multiplier=float(ratio), is_spike=spike))
+        for start, end, n in wins[["start_ms", "end_ms", "edit_count"]].itertuples(index=False):
+            avg, ratio, spike, hist = spike_step(hist, int(n), self.history, self.multiplier)
+            out.append((title, int(start), int(end), int(n), float(avg), float(ratio), bool(spike)))
         self.state.update((hist,))
-        base = windows[-1][1] if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        base = int(wins["end_ms"].max()) if self.event_time else timerValues.getCurrentProcessingTimeInMs()
         _reset_timers(self.handle, base + self.ttl_ms)
-        yield from out
+        yield pd.DataFrame(out, columns=SPIKE_COLS)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.state.clear()
-        yield Row(article_title=key[0], start_ms=0, end_ms=0, current_edit_count=0,
-                  historical_average=0.0, spike_multiplier=0.0, is_spike=False)
+        yield pd.DataFrame([(key[0], 0, 0, 0, 0.0, 0.0, False)], columns=SPIKE_COLS)
 
     def close(self) -> None:
         pass
