@@ -97,3 +97,15 @@ def test_hot_editor_not_windowed_alone(spark):
         # the per-row windows carry the bucket key next to user
         if any("_t#" in p for p in parts):
             assert any(p.startswith("_b#") for p in parts), spec
+
+
+def test_session_window_plan_agrees(spark):
+    from tidewatch.plans.registry import _edits
+
+    from conftest import SF01
+
+    e = _edits(spark, SF01)
+    a = editor_spans(e)
+    b = editor_spans(e, method="session_window")
+    assert a.count() == 5641
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -36,14 +36,14 @@ _LOGS: dict[tuple, str] = {}  # (shared root, sf_dir, variant) -> written editor
 REPLAY_SPIKE_TTL = "36500 days"
 
 
-def _input(spark: SparkSession, sf_dir: str) -> str:
+def _input(spark: SparkSession, sf_dir: str, period: str = PERIOD) -> str:
     ensure_utc(spark)
-    tag = hashlib.sha1(f"{sf_dir}|{PERIOD}|{REPLAY_VERSION}".encode()).hexdigest()[:12]
-    return replay_input(spark, change_events(spark, sf_dir), f"{shared_root(spark)}/replay-{tag}", PERIOD)
+    tag = hashlib.sha1(f"{sf_dir}|{period}|{REPLAY_VERSION}".encode()).hexdigest()[:12]
+    return replay_input(spark, change_events(spark, sf_dir), f"{shared_root(spark)}/replay-{tag}", period)
 
 
-def _run(spark, sf_dir, name, starter, **kw) -> str:
-    src = from_json_files(spark, _input(spark, sf_dir))
+def _run(spark, sf_dir, name, starter, period: str = PERIOD, **kw) -> str:
+    src = from_json_files(spark, _input(spark, sf_dir, period))
     root = scratch_path(spark, name)
     with drained_stream_settings(spark):
         q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
@@ -51,22 +51,22 @@ def _run(spark, sf_dir, name, starter, **kw) -> str:
     return f"{root}/table"
 
 
-def q_trending_stream(spark, sf_dir):
-    path = _run(spark, sf_dir, "trending_stream", start_trending)
+def q_trending_stream(spark, sf_dir, period: str = PERIOD):
+    path = _run(spark, sf_dir, "trending_stream", start_trending, period)
     return to_ntz(spark.read.parquet(path).where(F.col("article_title") != FLUSH))
 
 
-def _editors_log(spark, sf_dir, strict_gap: bool = True) -> DataFrame:
+def _editors_log(spark, sf_dir, strict_gap: bool = True, period: str = PERIOD) -> DataFrame:
     """The editor update log of one drained replay (run once per process and variant)."""
-    key = (shared_root(spark), sf_dir, strict_gap)
+    key = (shared_root(spark), sf_dir, strict_gap, period)
     if key not in _LOGS:
-        _LOGS[key] = _run(spark, sf_dir, "editors_stream", start_editors, strict_gap=strict_gap)
+        _LOGS[key] = _run(spark, sf_dir, "editors_stream", start_editors, period, strict_gap=strict_gap)
     return spark.read.parquet(_LOGS[key]).where(F.col("user") != FLUSH)
 
 
-def q_editors_stream(spark, sf_dir):
+def q_editors_stream(spark, sf_dir, period: str = PERIOD):
     """Final row of every activity span in the update log."""
-    log = _editors_log(spark, sf_dir)
+    log = _editors_log(spark, sf_dir, period=period)
     final = latest_per_key(log.drop("run_id", "committed_at"), ["user", "span_start"],
                            ["batch_id", "is_expired", "total_edits"])
     return to_ntz(final.select("user", "span_start", "total_edits", "last_activity", "is_expired"))
@@ -103,8 +103,8 @@ def q_spikes_live(spark, sf_dir):
 
 
 
-def q_spikes_stream(spark, sf_dir):
-    path = _run(spark, sf_dir, "spikes_stream", start_spikes, params=WIDE_SPIKES, expiry="event_time",
+def q_spikes_stream(spark, sf_dir, period: str = PERIOD):
+    path = _run(spark, sf_dir, "spikes_stream", start_spikes, period, params=WIDE_SPIKES, expiry="event_time",
                 ttl=REPLAY_SPIKE_TTL)
     df = spark.read.parquet(path).where((F.col("article_title") != FLUSH) & (F.unix_millis("window_start") > 0))
     return to_ntz(df.select("article_title", "window_start", "window_end", "current_edit_count",
