@@ -14,6 +14,8 @@ close every window and expire every key; their title and user are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +37,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_marker(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path).first()[0]
 
 
 def flush_rows(changes: DataFrame) -> DataFrame:
@@ -83,9 +91,15 @@ def write_replay(spark: SparkSession, changes: DataFrame, path: str, period: str
 
 
 def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str = "1 day") -> str:
-    """``write_replay`` once per ``root``; later calls reuse the written files."""
+    """``write_replay`` once per ``root``; later calls reuse the written files.
+
+    Every attempt writes to its own folder and only a finished attempt is
+    published through ``_DONE``, so a retry after a failure never appends to a
+    half-written input folder.
+    """
     done = f"{root}/_DONE"
     if not path_exists(spark, done):
-        write_replay(spark, changes, root, period)
-        touch(spark, done)
-    return f"{root}/input"
+        attempt = f"{root}/attempt-{uuid.uuid4().hex[:12]}"
+        target = write_replay(spark, changes, attempt, period)
+        write_marker(spark, done, target)
+    return read_marker(spark, done)
