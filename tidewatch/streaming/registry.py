@@ -25,7 +25,7 @@ from tidewatch.streaming.replay import FLUSH, replay_input
 
 AVAILABLE_NOW = {"availableNow": True}
 PERIOD = "1 day"
-REPLAY_VERSION = "v1"  # bump when the replay layout changes
+REPLAY_VERSION = "v2"  # bump when the replay layout changes
 _LOGS: dict[tuple, str] = {}  # (shared root, sf_dir, variant) -> written editor log
 
 # The replay drains a month of events in about a minute of wall clock, so under
