@@ -94,10 +94,10 @@ def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str
     """``write_replay`` once per ``root``; later calls reuse the written files.
 
     Every attempt writes to its own folder and only a finished attempt is
-    published through ``_DONE``, so a retry after a failure never appends to a
+    published through ``LATEST``, so a retry after a failure never appends to a
     half-written input folder.
     """
-    done = f"{root}/_DONE"
+    done = f"{root}/LATEST"  # no leading underscore: Spark skips such files on read
     if not path_exists(spark, done):
         attempt = f"{root}/attempt-{uuid.uuid4().hex[:12]}"
         target = write_replay(spark, changes, attempt, period)
