@@ -9,6 +9,7 @@ session's shared checkpoint root.
 from __future__ import annotations
 
 import hashlib
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ AVAILABLE_NOW = {"availableNow": True}
 PERIOD = "1 day"
 REPLAY_VERSION = "v2"  # bump when the replay layout changes
 _LOGS: dict[tuple, str] = {}  # (shared root, sf_dir, variant) -> written editor log
+RUN_STATS: dict[str, dict] = {}  # name -> progress summary of its last drained run
 
 # The replay drains a month of events in about a minute of wall clock, so under
 # the defined 30-minute processing-time expiry no title expires during the run.
@@ -46,11 +48,30 @@ def _run(spark, sf_dir, name, starter, period: str = PERIOD, **kw) -> str:
     src = from_json_files(spark, _input(spark, sf_dir, period))
     root = scratch_path(spark, name)
     with drained_stream_settings(spark):
+        t0 = time.perf_counter()
         q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
         await_all([q])
+        RUN_STATS[name] = progress_summary(q.recentProgress, time.perf_counter() - t0)
     return f"{root}/table"
 
 
+def progress_summary(progress: list, wall_sec: float) -> dict:
+    """Drain time, input rows/s, final state rows and late-dropped rows of a run."""
+    rows = sum(p.get("numInputRows", 0) for p in progress)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p.get("stateOperators", []))
+    last_ops = progress[-1].get("stateOperators", []) if progress else []
+    return {
+        "batches": len(progress),
+        "input_rows": rows,
+        "drain_sec": round(wall_sec, 3),
+        "rows_per_sec": round(rows / wall_sec, 1) if wall_sec > 0 else None,
+        "state_rows_end": sum(op.get("numRowsTotal", 0) for op in last_ops),
+        "state_rows_peak": max((sum(op.get("numRowsTotal", 0) for op in p.get("stateOperators", []))
+                                for p in progress), default=0),
+        "rows_dropped_late": dropped,
+    }
+
+
 def q_trending_stream(spark, sf_dir, period: str = PERIOD):
     path = _run(spark, sf_dir, "trending_stream", start_trending, period)
     return to_ntz(spark.read.parquet(path).where(F.col("article_title") != FLUSH))
