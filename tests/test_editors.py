@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import editor_running, editor_spans
@@ -35,8 +36,8 @@ def _frame(spark, rows):
     return spark.createDataFrame(data, "user string, id long, event_time timestamp")
 
 
-def _check(spark, rows):
-    got = editor_running(_frame(spark, rows)).collect()
+def _check(spark, rows, bucket=None):
+    got = editor_running(_frame(spark, rows), bucket=bucket).collect()
     exp = brute(rows)
     assert len(got) == len(rows)
     for r in got:
@@ -60,7 +61,8 @@ def test_ties_and_null_editor(spark):
     _check(spark, rows)
 
 
-def test_random_against_brute_force_with_hot_editor(spark):
+@pytest.mark.parametrize("bucket", [None, "1 minute", "7 minutes", "3 hours"])
+def test_random_against_brute_force_with_hot_editor(spark, bucket):
     rng = random.Random(7)
     rows, i = [], 0
     # a hot editor owning a third of all rows, dense enough to chain across buckets
@@ -72,7 +74,7 @@ def test_random_against_brute_force_with_hot_editor(spark):
         rows.append((u, i, clocks[u]))
         i += 1
     rng.shuffle(rows)
-    _check(spark, rows)
+    _check(spark, rows, bucket)
 
 
 def test_spans_and_expiry(spark):

@@ -6,17 +6,17 @@ the idle time starts a new span.  Inside a span the running total counts edits
 in (event_time, id) order and ``last_activity`` is the latest edit time.
 
 Scale: a single editor (a bot) may own a third of all rows, so nothing here is
-partitioned by ``user`` alone.  Rows are split into (user, idle-sized time
-bucket) groups:
+partitioned by ``user`` alone.  Rows are split into (user, time bucket) groups,
+the bucket as wide as the idle gap unless ``bucket`` says otherwise:
 
 1. one window pass over (user, bucket) ordered by time gives each row its
    in-bucket predecessor, row number and the last span start seen so far;
-2. a per-(user, bucket) summary (one row per active editor-hour) carries what
-   crosses bucket borders: whether the bucket's first edit starts a span (the
-   predecessor can only be in the previous bucket, since buckets are as wide as
-   the idle gap), the span open at the end of each bucket and running edit
-   counts.  Only this summary is windowed by user, and it is bounded by the
-   number of hours in the data, not by the editor's edit count;
+2. a per-(user, bucket) summary (one row per active editor-bucket) carries what
+   crosses bucket borders: whether the bucket's first edit starts a span (its
+   predecessor is the last edit of the previous non-empty bucket), the span open
+   at the end of each bucket and running edit counts.  Only this summary is
+   windowed by user, and it is bounded by the number of buckets in the time
+   range, not by the editor's edit count;
 3. one equi-join on (user, bucket) brings the carry back to the rows.
 
 The result per row equals ``count(*) over (partition by user, span order by
@@ -36,14 +36,20 @@ def _running(w):
 
 
 def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str = "event_time",
-                   id_col: str = "id") -> DataFrame:
-    """W2/W3 per edit: user, id, event_time, span_start, total_edits, last_activity."""
+                   id_col: str = "id", bucket: str | None = None) -> DataFrame:
+    """W2/W3 per edit: user, id, event_time, span_start, total_edits, last_activity.
+
+    ``bucket`` (default: the idle gap) is the time slice that splits an editor's
+    rows; any width gives the same result, a finer one spreads a dense editor
+    over more tasks at the price of a larger per-bucket summary.
+    """
     gap = duration_us(params.editor_idle)
+    width = duration_us(bucket) if bucket else gap
     t = F.unix_micros(F.col(time_col))
     # Both the row pass and the bucket summary read exactly these four columns, so
     # their shuffle on (user, bucket) is one exchange, reused by the second branch.
     base = events.where(F.col(time_col).isNotNull()).select(
-        F.col("user"), F.col(id_col).alias("_id"), t.alias("_t"), F.floor(t / F.lit(gap)).cast("long").alias("_b"),
+        F.col("user"), F.col(id_col).alias("_id"), t.alias("_t"), F.floor(t / F.lit(width)).cast("long").alias("_b"),
     )
 
     # 1. in-bucket pass: predecessor, row number, last in-bucket span start so far
@@ -68,9 +74,9 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
         "*", F.lag("_b").over(w_u).alias("_pb"), F.lag("_last").over(w_u).alias("_pl"),
         F.sum("_n").over(_running(w_u)).alias("_C"),
     )
-    first_start = (
-        F.col("_pb").isNull() | (F.col("_pb") < F.col("_b") - 1) | ((F.col("_first") - F.col("_pl")) >= F.lit(gap))
-    )
+    # the predecessor of a bucket's first edit is the last edit of the editor's
+    # previous non-empty bucket, however far back it lies
+    first_start = F.col("_pb").isNull() | ((F.col("_first") - F.col("_pl")) >= F.lit(gap))
     cp = F.col("_C") - F.col("_n")  # edits of this editor in earlier buckets
     s = s.select("user", "_b", "_first", first_start.alias("_fs"), cp.alias("_Cp"),
                  F.coalesce(F.col("_ils"), F.when(first_start, F.col("_first"))).alias("_lsb"),
@@ -106,7 +112,7 @@ def expired_flag(last_activity: Column, newest_event: Column, params: Params = D
 
 
 def editor_spans(events: DataFrame, params: Params = DEFAULTS, time_col: str = "event_time",
-                 id_col: str = "id", method: str = "bucketed") -> DataFrame:
+                 id_col: str = "id", method: str = "bucketed", bucket: str | None = None) -> DataFrame:
     """active_editors as one row per activity span:
     user, span_start, total_edits, last_activity, is_expired.
 
@@ -122,7 +128,7 @@ def editor_spans(events: DataFrame, params: Params = DEFAULTS, time_col: str = "
                  .agg(F.count(F.lit(1)).alias("total_edits"), F.max(time_col).alias("last_activity"))
                  .select("user", F.col("s.start").alias("span_start"), "total_edits", "last_activity"))
     elif method == "bucketed":
-        running = editor_running(events, params, time_col, id_col)
+        running = editor_running(events, params, time_col, id_col, bucket)
         spans = running.groupBy("user", "span_start").agg(
             F.count(F.lit(1)).alias("total_edits"), F.max("event_time").alias("last_activity"))
     else:
