@@ -67,3 +67,21 @@ def test_table_stats(spark, scratch):
     got = {r.table_name: (r.file_count, r.total_bytes) for r in
            table_stats(spark, {"t1": f"{scratch}/t1", "t2": f"{scratch}/t2"}).collect()}
     assert got["t1"][0] == 3 and got["t2"][0] == 1 and got["t1"][1] > 0
+
+
+def test_top_trending_from_events_equals_full_table(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF01
+    from tidewatch.operators import trending
+    from tidewatch.plans import top_trending_from_events
+    from tidewatch.plans.registry import _edits
+
+    e = _edits(spark, SF01)
+    full = trending(e)
+    for as_of, lookback, mode in [("2024-01-15 12:00:00", "1 hour", "window_sum"),
+                                  ("2024-01-20 00:00:00", "6 hours", "window_sum"),
+                                  ("2024-01-10 07:13:00", "1 day", "distinct_edits")]:
+        a = top_trending(full, as_of=as_of, lookback=lookback, mode=mode, limit=50).collect()
+        b = top_trending_from_events(e, as_of=as_of, lookback=lookback, mode=mode, limit=50).collect()
+        assert a == b and len(a) > 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import DEFAULTS, Params
 from tidewatch.functions.columns import to_ntz
 from tidewatch.operators import editor_running, editor_spans, minute_counts, spikes, trending
-from tidewatch.plans.serve import active_board, hourly_heatmap, spike_board, top_trending
+from tidewatch.plans.serve import active_board, hourly_heatmap, spike_board, top_trending_from_events
 from tidewatch.session import ensure_utc
 from tidewatch.sources import change_events, edits, parse_changes, read_table, with_event_time
 from tidewatch.sources.ingest import raw_change_json
@@ -68,13 +68,13 @@ def q_editor_running(spark, sf_dir):
 def q_top_trending(spark, sf_dir):
     e = _edits(spark, sf_dir)
     newest = e.select(F.max("event_time")).scalar()
-    return to_ntz(top_trending(trending(e), as_of=newest))
+    return to_ntz(top_trending_from_events(e, as_of=newest))
 
 
 def q_top_trending_distinct(spark, sf_dir):
     e = _edits(spark, sf_dir)
     newest = e.select(F.max("event_time")).scalar()
-    return to_ntz(top_trending(trending(e), as_of=newest, lookback="1 day", mode="distinct_edits"))
+    return to_ntz(top_trending_from_events(e, as_of=newest, lookback="1 day", mode="distinct_edits"))
 
 
 def q_active_board(spark, sf_dir):

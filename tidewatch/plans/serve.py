@@ -43,6 +43,25 @@ def top_trending(trending: DataFrame, as_of=None, lookback: str = "1 hour", limi
     return agg.orderBy(F.desc("total_edits"), "article_title", "server_name").limit(limit)  # O1
 
 
+def top_trending_from_events(events: DataFrame, as_of=None, lookback: str = "1 hour", limit: int = 20,
+                             mode: str = "window_sum", params=None, time_col: str = "event_time") -> DataFrame:
+    """Q1 straight from edits, reading only the lookback period.
+
+    A window that starts at or after the cutoff holds only edits at or after the
+    cutoff, so filtering the edits first is exact: windows that start earlier
+    get partial counts but are removed by the same cutoff in ``top_trending``.
+    The 20-way window expansion then touches only the last ``lookback`` of data.
+    """
+    from tidewatch.config import DEFAULTS
+    from tidewatch.operators.trending import trending
+
+    params = params or DEFAULTS
+    cutoff = F.unix_micros(_as_of_col(as_of)) - F.lit(duration_us(lookback))
+    recent = events.where(F.unix_micros(time_col) >= cutoff)
+    return top_trending(trending(recent, params, time_col=time_col), as_of=as_of, lookback=lookback, limit=limit,
+                        mode=mode, window=params.trending_window)
+
+
 def active_board(editors: DataFrame, limit: int = 20, latest: bool = True,
                  version_cols: tuple[str, ...] = ("batch_id",)) -> DataFrame:
     """Q2: most active editors that have not expired.
