@@ -85,3 +85,18 @@ def test_top_trending_from_events_equals_full_table(spark):
         a = top_trending(full, as_of=as_of, lookback=lookback, mode=mode, limit=50).collect()
         b = top_trending_from_events(e, as_of=as_of, lookback=lookback, mode=mode, limit=50).collect()
         assert a == b and len(a) > 0
+
+
+def test_hourly_heatmap_from_events_equals_expanded(spark):
+    from conftest import SF01
+    from tidewatch.config import DEFAULTS
+    from tidewatch.operators import trending
+    from tidewatch.plans import hourly_heatmap_from_events
+    from tidewatch.plans.registry import _edits
+
+    e = _edits(spark, SF01)
+    for params in (DEFAULTS, DEFAULTS.with_(trending_window="20 minutes", trending_slide="1 minute"),
+                   DEFAULTS.with_(trending_window="2 hours", trending_slide="10 minutes")):
+        a = hourly_heatmap(trending(e, params)).collect()
+        b = hourly_heatmap_from_events(e, params).collect()
+        assert a == b and len(a) > 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import DEFAULTS, Params
 from tidewatch.functions.columns import to_ntz
 from tidewatch.operators import editor_running, editor_spans, minute_counts, spikes, trending
-from tidewatch.plans.serve import active_board, hourly_heatmap, spike_board, top_trending_from_events
+from tidewatch.plans.serve import active_board, hourly_heatmap_from_events, spike_board, top_trending_from_events
 from tidewatch.session import ensure_utc
 from tidewatch.sources import change_events, edits, parse_changes, read_table, with_event_time
 from tidewatch.sources.ingest import raw_change_json
@@ -86,7 +86,7 @@ def q_spike_board(spark, sf_dir):
 
 
 def q_hourly_heatmap(spark, sf_dir):
-    return to_ntz(hourly_heatmap(trending(_edits(spark, sf_dir))))
+    return to_ntz(hourly_heatmap_from_events(_edits(spark, sf_dir)))
 
 
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
