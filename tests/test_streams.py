@@ -59,8 +59,9 @@ def _rows_by_batch(spark, table, cols):
     return out
 
 
-def test_editors_golden_stream(spark, stream_a, scratch):
-    q = start_editors(from_json_files(spark, stream_a), f"{scratch}/t", f"{scratch}/c", trigger=NOW)
+@pytest.mark.parametrize("api", ["rows", "frames"])
+def test_editors_golden_stream(spark, stream_a, scratch, api):
+    q = start_editors(from_json_files(spark, stream_a), f"{scratch}/t", f"{scratch}/c", trigger=NOW, api=api)
     await_all([q])
     got = {}
     for r in spark.read.parquet(f"{scratch}/t").collect():
@@ -76,9 +77,10 @@ def test_editors_golden_stream(spark, stream_a, scratch):
     }
 
 
-def test_spikes_golden_stream_final_mode(spark, stream_a, scratch):
+@pytest.mark.parametrize("api", ["rows", "frames"])
+def test_spikes_golden_stream_final_mode(spark, stream_a, scratch, api):
     q = start_spikes(from_json_files(spark, stream_a), f"{scratch}/t", f"{scratch}/c", trigger=NOW,
-                     expiry="event_time", ttl="3650 days")
+                     expiry="event_time", ttl="3650 days", api=api)
     await_all([q])
     got = {}
     for r in spark.read.parquet(f"{scratch}/t").collect():
@@ -91,18 +93,20 @@ def test_spikes_golden_stream_final_mode(spark, stream_a, scratch):
     }
 
 
-def test_spike_expiry_emits_sentinel(spark, stream_a, scratch):
+@pytest.mark.parametrize("api", ["rows", "frames"])
+def test_spike_expiry_emits_sentinel(spark, stream_a, scratch, api):
     q = start_spikes(from_json_files(spark, stream_a), f"{scratch}/t", f"{scratch}/c", trigger=NOW,
-                     expiry="event_time", ttl="1 minute")
+                     expiry="event_time", ttl="1 minute", api=api)
     await_all([q])
     rows = spark.read.parquet(f"{scratch}/t").where(F.unix_millis("window_start") == 0).collect()
     assert rows and all(r.current_edit_count == 0 and not r.is_spike and r.historical_average == 0.0 for r in rows)
     assert {r.article_title for r in rows} >= {"P", "Q"}
 
 
-def test_spike_live_mode_keeps_latest_window_per_batch(spark, stream_a, scratch):
+@pytest.mark.parametrize("api", ["rows", "frames"])
+def test_spike_live_mode_keeps_latest_window_per_batch(spark, stream_a, scratch, api):
     q = start_spikes(from_json_files(spark, stream_a), f"{scratch}/t", f"{scratch}/c", trigger=NOW,
-                     mode="live", expiry="event_time", ttl="3650 days")
+                     mode="live", expiry="event_time", ttl="3650 days", api=api)
     await_all([q])
     spark.conf.set("spark.sql.streaming.statefulOperator.checkCorrectness.enabled", "true")
     got = _rows_by_batch(spark, f"{scratch}/t", ["article_title", "current_edit_count"])

@@ -25,7 +25,16 @@ def trending_frame(events_wm: DataFrame, params: Params = DEFAULTS) -> DataFrame
     return trending(events_wm, params)
 
 
-def editors_frame(events_wm: DataFrame, params: Params = DEFAULTS, strict_gap: bool = False) -> DataFrame:
+def _grouped_state(grouped, processor, schema: str, output_mode: str, time_mode: str, api: str):
+    if api == "rows":
+        return grouped.transformWithState(processor, schema, output_mode, time_mode)
+    if api == "frames":
+        return grouped.transformWithStateInPandas(processor, schema, output_mode, time_mode)
+    raise ValueError(f"unknown api {api!r}")
+
+
+def editors_frame(events_wm: DataFrame, params: Params = DEFAULTS, strict_gap: bool = False,
+                  api: str = "rows") -> DataFrame:
     """Per-editor running totals, expired in event time.
 
     Only (user, id, event_time) reach the keyed state (column pruning before
@@ -33,14 +42,14 @@ def editors_frame(events_wm: DataFrame, params: Params = DEFAULTS, strict_gap: b
     rows are filtered before the processor.
     """
     inp = events_wm.select("user", "id", "event_time", F.unix_millis("event_time").alias("event_ms"))
-    out = inp.groupBy("user").transformWithStateInPandas(
-        EditorProcessor(duration_us(params.editor_idle) // 1000, strict_gap), EDITOR_OUT, "Update", "EventTime")
+    proc = EditorProcessor(duration_us(params.editor_idle) // 1000, strict_gap, frames=(api == "frames"))
+    out = _grouped_state(inp.groupBy("user"), proc, EDITOR_OUT, "Update", "EventTime", api)
     return out.select("user", "total_edits", F.timestamp_millis("last_ms").alias("last_activity"),
                       "is_expired", F.timestamp_millis("span_ms").alias("span_start"))
 
 
 def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "final",
-                 expiry: str = "processing_time", ttl: str | None = None) -> DataFrame:
+                 expiry: str = "processing_time", ttl: str | None = None, api: str = "rows") -> DataFrame:
     """Tumbling counts chained into per-title history state.
 
     ``mode='final'`` feeds only closed windows (append-mode aggregate) and is
@@ -54,10 +63,9 @@ def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "f
                         F.unix_millis("window_end").alias("end_ms"), "edit_count")
     ttl_ms = duration_us(ttl or params.spike_ttl) // 1000
     proc = SpikeProcessor(params.spike_history, params.spike_multiplier, ttl_ms, mode,
-                          event_time=(expiry == "event_time"))
-    out = inp.groupBy("title").transformWithStateInPandas(
-        proc, SPIKE_OUT, "Append" if mode == "final" else "Update",
-        "EventTime" if expiry == "event_time" else "ProcessingTime")
+                          event_time=(expiry == "event_time"), frames=(api == "frames"))
+    out = _grouped_state(inp.groupBy("title"), proc, SPIKE_OUT, "Append" if mode == "final" else "Update",
+                         "EventTime" if expiry == "event_time" else "ProcessingTime", api)
     return out.select("article_title", F.timestamp_millis("start_ms").alias("window_start"),
                       F.timestamp_millis("end_ms").alias("window_end"), "current_edit_count",
                       "historical_average", "spike_multiplier", "is_spike")
@@ -69,18 +77,19 @@ def start_trending(events_wm, path, checkpoint, params: Params = DEFAULTS, trigg
 
 
 def start_editors(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
-                  query_name="active_editors", strict_gap=False):
+                  query_name="active_editors", strict_gap=False, api="rows"):
     require_rocksdb(events_wm.sparkSession)
-    return update_stream(editors_frame(events_wm, params, strict_gap), path, checkpoint, query_name, fmt, trigger)
+    return update_stream(editors_frame(events_wm, params, strict_gap, api), path, checkpoint, query_name, fmt,
+                         trigger)
 
 
 def start_spikes(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
-                 query_name="edit_spike_detector", mode="final", expiry="processing_time", ttl=None):
+                 query_name="edit_spike_detector", mode="final", expiry="processing_time", ttl=None, api="rows"):
     spark = events_wm.sparkSession
     require_rocksdb(spark)
     if mode == "live":
         spark.conf.set(CHAINED_CHECK, "false")
-    df = spikes_frame(events_wm, params, mode, expiry, ttl)
+    df = spikes_frame(events_wm, params, mode, expiry, ttl, api)
     w = (df.writeStream.outputMode("append" if mode == "final" else "update")
          .foreachBatch(idempotent_batch_writer(path, fmt))
          .option("checkpointLocation", checkpoint).queryName(query_name))
