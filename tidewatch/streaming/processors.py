@@ -9,10 +9,10 @@ detection) and the state keeps O(1) (editors) or O(history) (spikes) values
 per key plus the key's registered timer, so an unchanged timer costs no
 state-server call.
 
-Which API is faster depends on the key distribution.  Measured at sf0.1
-(1,500 editors, about two edits per editor and micro-batch): rows 77 s,
-frames 112 s for the same drained replay -- per-key DataFrame construction
-dominates when groups are tiny.  Frames win when a few keys carry most rows.
+Which API is faster depends on the key distribution: frames pay a pandas
+DataFrame per key, rows pay a Python object per row.  On the replays here
+(about two edits per editor and micro-batch) the two were within run-to-run
+noise of each other; frames are the choice when a few keys carry most rows.
 Times cross the boundary as epoch milliseconds computed in the JVM; output
 millis are turned back into timestamps by the caller (``jobs.py``).
 """
