@@ -40,10 +40,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     at scale.  Planning the split count lists files only; no job runs.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the input as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def changes_from_events(events: DataFrame) -> DataFrame:
