@@ -36,11 +36,11 @@ ORACLES: dict[str, str] = {
           FROM toks WHERE len(w) > 0),
         n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
         pairs AS (
-          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
           FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
         links AS (
           SELECT p.a, p.b FROM pairs p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
-          WHERE 100 * both >= 80 * (x.n + y.n - both)),
+          WHERE 100 * common >= 80 * (x.n + y.n - common)),
         reach(node, root) AS (
           SELECT doc_id, doc_id FROM documents
           UNION
