@@ -5,10 +5,12 @@
    group of any number of copies weighs as much as one text.
 2. A class has ``BANDS * ROWS`` minima.  Groups of ``ROWS`` full minima are band
    keys; the low four bits of all minima are packed into seven longs.
-3. Candidates come from equal band keys in two passes.  First each member of a
-   bucket against the bucket's least member; then, once those links have joined
-   most groups, members of one bucket that still lie in different components.
-   No pass lists all pairs of a group.
+3. Candidates come from equal band keys in three passes.  A bucket's centre is the
+   member whose buckets are fullest, in a group of edited copies the one nearest
+   to all.  First each class against the best centre of its buckets; then against
+   the centres of its other buckets that the first links left in another
+   component; last, the members of one bucket that still lie in different
+   components.  No pass lists all pairs of a group that links have joined.
 4. A candidate stays if the similarity estimated from equal 4-bit slots, corrected
    for chance collisions, reaches the threshold less a margin of about five
    standard errors; it is then confirmed on the full sets.
@@ -164,8 +166,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct("doc_id", "text_hash")).alias("rep")), "classes")
 
     slots = classes.select("key", F.posexplode("bands").alias("band", "value"))
-    buckets = slots.groupBy("band", "value").agg(F.min("key").alias("center"), F.count("*").alias("n")).where("n > 1")
-    members = written(slots.join(buckets, ["band", "value"]).select("band", "value", "key", "center"), "members")
+    shared = slots.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    crowd = written(slots.join(shared, ["band", "value"]), "crowd")
+    weight = crowd.groupBy("key").agg(F.sum("n").alias("weight"))
+    tops = crowd.join(weight, "key").groupBy("band", "value").agg(F.max(F.struct("weight", "key")).alias("top"))
+    members = written(crowd.select("band", "value", "key").join(tops, ["band", "value"]), "members")
 
     # the sets of all classes that share a bucket with another, from one text of each
     reps = members.select("key").distinct().join(classes.select("key", "rep"), "key").select(
@@ -176,12 +181,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     limit = percent / 100 - MARGIN
     sigs = classes.select("key", "sig")
-    stars = (members.where("key <> center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
-             .join(sigs.select(F.col("key").alias("a"), F.col("sig").alias("x")), "a")
-             .join(sigs.select(F.col("key").alias("b"), F.col("sig").alias("y")), "b")
-             .where(estimate("x", "y") >= limit).select("a", "b"))
-    first = written(_confirmed(stars, sets, percent), "first")
-    roots = written(components(first), "roots")
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b) that pass the estimate, confirmed on the full sets."""
+        near = (pairs.join(sigs.select(F.col("key").alias("a"), F.col("sig").alias("x")), "a")
+                .join(sigs.select(F.col("key").alias("b"), F.col("sig").alias("y")), "b")
+                .where(estimate("x", "y") >= limit).select("a", "b"))
+        return _confirmed(near, sets, percent)
+
+    centres = members.where(F.col("top.key") != F.col("key"))
+    best = centres.groupBy("key").agg(F.max("top").alias("top")).select(F.col("top.key").alias("a"), F.col("key").alias("b"))
+    links = written(alike(best), "first")
+    roots = written(components(links), "roots")
+    other = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    own = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    apart = (centres.select(F.col("top.key").alias("a"), F.col("key").alias("b")).distinct()
+             .join(other, "a", "left").join(own, "b", "left")
+             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+    links = links.unionByName(written(alike(apart), "second"))
+    roots = written(components(links), "roots")
 
     placed = (members.join(roots.withColumnRenamed("node", "key"), "key", "left")
               .withColumn("root", F.coalesce("root", "key")))
@@ -191,11 +208,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .join(sigs, "key"), "open")
     left = open_.select("band", "value", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("sig").alias("x"))
     right = open_.select("band", "value", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("sig").alias("y"))
-    rest = (left.join(right, ["band", "value"]).where((F.col("ra") < F.col("rb")) & (estimate("x", "y") >= limit))
-            .select("a", "b").distinct())
-    second = written(_confirmed(rest, sets, percent), "second")
+    rest = written(left.join(right, ["band", "value"]).where((F.col("ra") < F.col("rb")) & (estimate("x", "y") >= limit))
+                   .select("a", "b").distinct(), "rest")
+    links = links.unionByName(written(_confirmed(rest, sets, percent), "third"))
 
-    final = components(first.unionByName(second)).withColumnRenamed("node", "key")
+    final = components(links).withColumnRenamed("node", "key")
     roots_of = sketch.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(final, "key", "left")
     roots_of = roots_of.withColumn("root", F.coalesce("root", "key"))
     named = roots_of.groupBy("root").agg(F.min("least").alias("component_id"))
