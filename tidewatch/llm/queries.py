@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import hamming, imatch, langid, minhash, mixing, packing, secrets, toxicity, warc
+from tidewatch.llm import hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
 from tidewatch.llm._shared import table
 
 
@@ -50,6 +50,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_text(F.col("spans")).alias("spans"))
 
 
+def op2_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 likelihood of every document under the recurrent model, and under word counts."""
+    return language_model.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprint of every document and of its edited text."""
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_gru": op2_gru,
     "op3_imatch": op3_imatch,
     "op4_warc": op4_warc,
     "op5_packing": op5_packing,
