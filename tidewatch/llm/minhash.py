@@ -144,14 +144,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, kept, class_key).
+    """One row per document: (doc_id, text_hash, n_shingles, component_id, kept, class_key).
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their
     sets of ``shingle``-word shingles; ``component_id`` is the least id reachable.
     Null or wordless texts have an empty set, link with nothing and are kept.  A
     repeated row is returned each time; rows that share the least id are all
     kept.  A null id can join a component but not name it; if no row of the
-    component has an id, ``component_id`` is null and ``kept`` false.  Other
+    component has an id, ``component_id`` is null and all its rows are kept.  Other
     columns are ignored.  ``percent`` must be 70 or more: the bands are laid out for that.
     """
     if percent < 70:
@@ -181,6 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     limit = percent / 100 - MARGIN
     sigs = classes.select("key", "sig")
+
     def alike(pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) that pass the estimate, confirmed on the full sets."""
         near = (pairs.join(sigs.select(F.col("key").alias("a"), F.col("sig").alias("x")), "a")
@@ -217,9 +218,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots_of = roots_of.withColumn("root", F.coalesce("root", "key"))
     named = roots_of.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = roots_of.join(named, "root").select("key", "component_id")
-    return (sketch.select("doc_id", "n_shingles", "key").join(by_class, "key", "left")
-            .select("doc_id", "n_shingles",
+    return (sketch.select("doc_id", "text_hash", "n_shingles", "key").join(by_class, "key", "left")
+            .select("doc_id", "text_hash", "n_shingles",
                     F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.when(F.col("n_shingles") == 0, F.lit(True)).otherwise(
-                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))).alias("kept"),
+                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())).alias("kept"),
                     F.hex("key").alias("class_key")))
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: of each group
+    the document with the least id."""
+    kept = (near_duplicates(docs, shingle=shingle, percent=percent).where("kept")
+            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    return docs.join(kept.hint("shuffle_hash"),
+                     F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash")),
+                     "left_semi")

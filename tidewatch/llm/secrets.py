@@ -143,3 +143,23 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
                F.concat(acc["done"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark)))
         .otherwise(acc["done"]).alias("done")))
     return F.concat(done["done"], F.substring(text, (done["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+
+
+def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every secret span replaced by a mark and ``n_chars``, where there is
+    such a column, set to the new length.  Rows without findings stay as they are."""
+    found = (scan(docs, path_col=id_col, text_col=text_col).where(F.size("spans") > 0)
+             .select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
+    rows = docs.withColumn("_own", F.unhex(F.sha2(text_or_empty(text_col), 256)))
+    rows = rows.join(found, F.col("_own") == F.col("_blob"), "left")
+    hit = F.col("_spans").isNotNull()
+    text = F.when(hit, redact(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col))
+    out = []
+    for c in docs.columns:
+        if c == text_col:
+            out.append(text.alias(c))
+        elif c == "n_chars":
+            out.append(F.when(hit, F.length(text).cast("long")).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.col(f"`{c}`"))
+    return rows.select(*out)

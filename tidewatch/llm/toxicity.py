@@ -327,3 +327,18 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(docs, train(docs, labels))
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _keep(model: Model, column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model)
+        for batch in batches:
+            z = [float(np.dot(model.weights, features(reader.hits(t.as_py() or ""), model.context))) for t in batch.column(column)]
+            yield batch.filter(pa.array([x < 0 for x in z], pa.bool_()))
+    return run
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score below one half."""
+    model = train(docs, labels)
+    return docs.mapInArrow(_keep(model, docs.columns.index("text")), docs.schema)
