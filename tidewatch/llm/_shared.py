@@ -45,3 +45,12 @@ def fold(doc_id: Column, modulus: int) -> Column:
 def word_count(col: Column) -> Column:
     """Number of words of a text (0 for null) without building them as strings."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def boxed(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns of ``df`` in one struct, so that working columns cannot clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
+def unboxed(columns: list[str], name: str = "row") -> list[Column]:
+    return [F.col(name)[c].alias(c) for c in columns]

@@ -10,7 +10,8 @@
    to all.  First each class against the best centre of its buckets; then against
    the centres of its other buckets that the first links left in another
    component; last, the members of one bucket that still lie in different
-   components.  No pass lists all pairs of a group that links have joined.
+   components and whose sizes and shingles that no other such member has leave
+   room for the threshold.  No pass lists all pairs of a group.
 4. A candidate stays if the similarity estimated from equal 4-bit slots, corrected
    for chance collisions, reaches the threshold less a margin of about five
    standard errors; it is then confirmed on the full sets.
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._shared import written
+from tidewatch.llm._shared import boxed, unboxed, written
 from tidewatch.llm._words import shingle_hashes, slices, words
 from tidewatch.llm.components import components
 
@@ -35,27 +36,31 @@ BITS = 4
 SLOTS = BANDS * ROWS
 PACKED = SLOTS * BITS // 64
 MARGIN = 0.22
+FINE_BITS, FINE_SLOTS, FINE_MARGIN = 2, 2048, 0.055  # of the longer signature
 
 _rng = np.random.default_rng(7)
 _MUL = _rng.integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, SLOTS, dtype=np.uint64)
+_FINE_MUL = _rng.integers(1, 2**63, FINE_SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_ADD = _rng.integers(0, 2**63, FINE_SLOTS, dtype=np.uint64)
 _BAND_MUL = _rng.integers(1, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """Least value of each of the SLOTS hash functions, as 32-bit numbers."""
-    low = np.full(SLOTS, 2**64 - 1, np.uint64)
-    for i in range(0, len(hashes), 256):
-        part = hashes[i:i + 256, None] * _MUL
-        part += _ADD
-        np.minimum(low, part.min(axis=0), out=low)
+def minima(hashes: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray = _ADD) -> np.ndarray:
+    """Least value of each hash function, as 32-bit numbers."""
+    low = np.full(len(mul), 2**64 - 1, np.uint64)
+    for k in range(0, len(mul), 128):
+        for i in range(0, len(hashes), 256):
+            part = hashes[i:i + 256, None] * mul[k:k + 128]
+            part += add[k:k + 128]
+            np.minimum(low[k:k + 128], part.min(axis=0), out=low[k:k + 128])
     return low >> np.uint64(32)
 
 
-def pack(low: np.ndarray) -> np.ndarray:
-    """Low BITS bits of each minimum, sixteen to a long."""
-    nibbles = (low & np.uint64(15)).reshape(PACKED, 16)
-    return (nibbles << (np.arange(16, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64).view(np.int64)
+def pack(low: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The low ``bits`` bits of each minimum, as many to a long as fit."""
+    slots = (low & np.uint64(2 ** bits - 1)).reshape(-1, 64 // bits)
+    return (slots << (np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -124,6 +129,12 @@ def _confirm(percent: int):
     return run
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sigs = [pack(minima(np.frombuffer(x.as_py(), np.uint64), _FINE_MUL, _FINE_ADD), FINE_BITS) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], names=["key", "fine"])
+
+
 def estimate(x: str, y: str) -> Column:
     """Similarity from the packed signatures, corrected for equal low bits by chance."""
     differ = F.lit(0)
@@ -135,6 +146,17 @@ def estimate(x: str, y: str) -> Column:
     return (1 - differ / float(SLOTS) - chance) / (1 - chance)
 
 
+def fine_estimate(x: str, y: str) -> Column:
+    """As ``estimate``, from the longer signatures."""
+    def differ(p: Column, q: Column) -> Column:
+        z = p.bitwiseXOR(q)
+        return F.bit_count(z.bitwiseOR(F.shiftright(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    n = F.aggregate(F.zip_with(x, y, differ), F.lit(0), lambda acc, d: acc + d)
+    chance = 2.0 ** -FINE_BITS
+    return (1 - n / float(FINE_SLOTS) - chance) / (1 - chance)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) whose full sets are alike enough."""
     with_a = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a")
@@ -205,12 +227,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .withColumn("root", F.coalesce("root", "key")))
     mixed = (placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo <> hi").select("band", "value"))
-    open_ = written(placed.select("band", "value", "key", "root").join(mixed, ["band", "value"])
-                    .join(sigs, "key"), "open")
-    left = open_.select("band", "value", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("sig").alias("x"))
-    right = open_.select("band", "value", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("sig").alias("y"))
-    rest = written(left.join(right, ["band", "value"]).where((F.col("ra") < F.col("rb")) & (estimate("x", "y") >= limit))
-                   .select("a", "b").distinct(), "rest")
+    open_ = placed.select("band", "value", "key", "root").join(mixed, ["band", "value"])
+    fine = written(sets.join(open_.select("key").distinct(), "key").select("key", "set").mapInArrow(_fine, "key binary, fine array<long>"), "fine")
+    open_ = written(open_.join(classes.select("key", "sig", "bands"), "key").join(fine, "key"), "open")
+    side = lambda **names: open_.select("band", "value", *[F.col(v).alias(k) for k, v in names.items()])
+    pairs = side(a="key", ra="root", x="sig", fx="fine", bx="bands").join(side(b="key", rb="root", y="sig", fy="fine", by="bands"), ["band", "value"])
+    first_shared = F.array_position(F.zip_with("bx", "by", lambda p, q: p == q), True) == F.col("band") + 1
+    rest = written(pairs.where((F.col("ra") < F.col("rb")) & (estimate("x", "y") >= limit) & first_shared
+                               & (fine_estimate("fx", "fy") >= percent / 100 - FINE_MARGIN)).select("a", "b"), "rest")
     links = links.unionByName(written(_confirmed(rest, sets, percent), "third"))
 
     final = components(links).withColumnRenamed("node", "key")
@@ -229,8 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: of each group
     the document with the least id."""
-    kept = (near_duplicates(docs, shingle=shingle, percent=percent).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    return docs.join(kept.hint("shuffle_hash"),
-                     F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash")),
-                     "left_semi")
+    kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").select("doc_id", "text_hash").distinct()
+    rows = boxed(docs).withColumn("hash", F.xxhash64(F.col("row.text").cast("string")))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(kept.doc_id) & (F.col("hash") == kept.text_hash)
+    return rows.join(kept.hint("shuffle_hash"), same, "left_semi").select(*unboxed(docs.columns))
