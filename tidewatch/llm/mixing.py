@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._shared import word_count, written
+from tidewatch.llm._shared import unboxed, word_count, written
 
 BLOCKS = 1024          # blocks of a source, more where a block would exceed BLOCK_WORDS on average
 BLOCK_WORDS = 1 << 24
@@ -151,23 +151,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                 .agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("draws")))
     # at most one row per block, with at most MAX_EPOCHS + 1 draws
     plan = table.join(by_block, ["key", "block"], "left").select(
-        F.col("key").alias("_mix_key"), F.col("block").alias("_mix_block"), "source_size", "target",
-        F.coalesce("draws", F.array().cast("array<struct<pass:int,shard:int>>")).alias("draws"))
-    plan = plan.select("_mix_key", "_mix_block", F.struct("source_size", "target", "draws").alias("_mix"))
+        "key", "block", "source_size", "target", F.coalesce("draws", F.array().cast("array<struct<pass:int,shard:int>>")).alias("draws"))
     keep = [c for c in docs.columns if c != out]
-    return (docs.withColumns({"_mix_key": _key(source_col),
-                              "_mix_block": F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n_blocks)),
-                              "_mix_size": word_count(F.col(text_col))})
-            .join(plan, ["_mix_key", "_mix_block"])
-            .select(*[F.col(f"`{c}`") for c in keep],
-                    F.struct(F.col("_mix_size").alias("size"), "_mix.source_size", "_mix.target", "_mix.draws").alias(out)))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), _key(source_col).alias("key"),
+                       F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n_blocks)).alias("block"),
+                       word_count(F.col(text_col)).alias("size"))
+    return rows.join(plan, ["key", "block"]).select(*unboxed(keep), F.struct("size", "source_size", "target", "draws").alias(out))
 
 
 def mixture(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
     """The mixed rows themselves: a document once per draw, dealt by shard and
     shuffled inside it.  Columns are those of ``docs``."""
-    keep = [F.col(f"`{c}`") for c in docs.columns]
-    rows = mix(docs, seed=seed, out="_mixed", **options).select(*keep, F.explode("_mixed.draws").alias("_draw"))
-    order = F.xxhash64(F.lit(seed), "_draw.pass", *keep)
-    return (rows.withColumn("_order", order).repartition("_draw.shard").sortWithinPartitions("_draw.shard", "_order")
-            .select(*keep))
+    out = "mix"
+    while out in docs.columns:
+        out += "_"
+    rows = mix(docs, seed=seed, out=out, **options)
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode(f"{out}.draws").alias("draw"))
+    order = F.xxhash64(F.lit(seed), "draw.pass", "row")
+    return (rows.withColumn("order", order).repartition("draw.shard").sortWithinPartitions("draw.shard", "order")
+            .select(*unboxed(docs.columns)))

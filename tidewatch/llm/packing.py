@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewatch.llm._shared import word_count, written
+from tidewatch.llm._shared import unboxed, word_count, written
 
 BUCKETS = 16
 TOKEN_BUDGET = 16384
@@ -75,28 +75,27 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     """
     keep = [c for c in docs.columns if c != out]
     length = word_count(F.col(text_col)) + 1 if length is None else length
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], length.cast("long").alias("_n"),
-                       F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_h"))
-    rows = rows.withColumn("_g", on_grid(F.col("_n")))
-    seen = written(rows.select("_g", "_h"), "lengths")
-    hist = sorted((r["_g"], r["n"]) for r in seen.groupBy("_g").agg(F.count("*").alias("n")).collect())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), length.cast("long").alias("n_tokens"),
+                       F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("h"))
+    rows = rows.withColumn("g", on_grid(F.col("n_tokens")))
+    seen = written(rows.select("g", "h"), "lengths")
+    hist = sorted((r["g"], r["n"]) for r in seen.groupBy("g").agg(F.count("*").alias("n")).collect())
     bounds = optimal_bounds(np.array([g for g, _ in hist], float), np.array([n for _, n in hist], float), buckets) or [1]
     chunks = max(64, sum(n for _, n in hist) // CHUNK_ROWS)
 
     bucket = F.lit(0)
     for b in bounds[:-1]:
-        bucket = bucket + (F.col("_g") > b).cast("int")
-    chunk = F.pmod(F.shiftright("_h", 8), F.lit(chunks))
-    counts = seen.groupBy(bucket.alias("_b"), chunk.alias("_c")).agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("_b").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", "_c", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_b", "_c").orderBy("_h")) - 1
-    rows = (rows.withColumns({"_b": bucket, "_c": chunk}).withColumn("_place", place)
-            .join(offsets, ["_b", "_c"]))
-    at = F.col("_before") + F.col("_place")
-    bound = F.element_at(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("_b") + 1)
+        bucket = bucket + (F.col("g") > b).cast("int")
+    chunk = F.pmod(F.shiftright("h", 8), F.lit(chunks))
+    counts = seen.groupBy(bucket.alias("bucket"), chunk.alias("chunk")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("bucket").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("bucket", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("bucket", "chunk").orderBy("h")) - 1
+    rows = (rows.withColumns({"bucket": bucket, "chunk": chunk}).withColumn("place", place)
+            .join(offsets, ["bucket", "chunk"]))
+    at = F.col("before") + F.col("place")
+    bound = F.element_at(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("bucket") + 1)
     cap = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / bound))
-    return rows.select(*[F.col(f"`{c}`") for c in keep], F.struct(
-        F.col("_n").alias("n_tokens"), F.col("_b").alias("bucket"), bound.alias("bound"),
-        F.floor(at / cap).cast("long").alias("batch"), F.pmod(at, cap).cast("long").alias("slot"),
-        (bound - F.col("_n")).alias("padding")).alias(out))
+    return rows.select(*unboxed(keep), F.struct(
+        "n_tokens", "bucket", bound.alias("bound"), F.floor(at / cap).cast("long").alias("batch"),
+        F.pmod(at, cap).cast("long").alias("slot"), (bound - F.col("n_tokens")).alias("padding")).alias(out))

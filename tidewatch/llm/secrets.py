@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewatch.llm._shared import text_or_empty
+from tidewatch.llm._shared import boxed, text_or_empty
 from tidewatch.session import scratch_path
 
 
@@ -149,17 +149,12 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with every secret span replaced by a mark and ``n_chars``, where there is
     such a column, set to the new length.  Rows without findings stay as they are."""
     found = (scan(docs, path_col=id_col, text_col=text_col).where(F.size("spans") > 0)
-             .select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]))
-    rows = docs.withColumn("_own", F.unhex(F.sha2(text_or_empty(text_col), 256)))
-    rows = rows.join(found, F.col("_own") == F.col("_blob"), "left")
-    hit = F.col("_spans").isNotNull()
-    text = F.when(hit, redact(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col))
-    out = []
-    for c in docs.columns:
-        if c == text_col:
-            out.append(text.alias(c))
-        elif c == "n_chars":
-            out.append(F.when(hit, F.length(text).cast("long")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return rows.select(*out)
+             .select("blob", "spans").dropDuplicates(["blob"]))
+    text = F.col("row")[text_col]
+    rows = boxed(docs).withColumn("blob", F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))).join(found, "blob", "left")
+    hit = F.col("spans").isNotNull()
+    rows = rows.select("row", F.when(hit, redact(text, F.col("spans"))).alias("clean"))
+    changed = F.col("clean").isNotNull()
+    out = {text_col: F.when(changed, F.col("clean")).otherwise(text),
+           "n_chars": F.when(changed, F.length("clean").cast("long")).otherwise(F.col("row")["n_chars"]) if "n_chars" in docs.columns else None}
+    return rows.select(*[(out[c] if c in out else F.col("row")[c]).alias(c) for c in docs.columns])

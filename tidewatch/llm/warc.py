@@ -117,7 +117,7 @@ def read_archive(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         trained = zstd.ZstdCompressionDict(source.read(struct.unpack("<I", head[4:])[0]))
         rest = b""
     unpacker, buffer = zstd.ZstdDecompressor(dict_data=trained), bytearray()
-    frame = unpacker.decompressobj()
+    frame, begun = unpacker.decompressobj(), False
     while True:
         chunk = rest or source.read(1 << 20)
         rest = b""
@@ -126,11 +126,12 @@ def read_archive(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         while chunk:
             buffer += frame.decompress(chunk)
             chunk = frame.unused_data if frame.eof else b""
+            begun = not frame.eof
             if frame.eof:  # one frame is one record
                 yield _parse(bytes(buffer))
                 buffer.clear()
                 frame = unpacker.decompressobj()
-    if buffer:
+    if begun:
         raise ValueError("the archive ends inside a record")
 
 
