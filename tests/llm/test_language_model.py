@@ -1,0 +1,132 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from llm_helpers import ascii_lower
+from tidewatch.llm import gru
+from tidewatch.llm import language_model as lm
+
+
+def small(seed=1, words=30, classes=5, buckets=4):
+    rng = np.random.default_rng(seed)
+    counts = np.sort(rng.integers(1, 200, words))[::-1]
+    lay = gru.layout(counts, classes, buckets)
+    p = gru.initial(lay, np.concatenate([[20], counts, rng.integers(1, 50, buckets)]).astype(float))
+    return lay, {k: v.astype(np.float64) for k, v in p.items()}
+
+
+def test_probabilities_sum_to_one():
+    lay, p = small()
+    h = np.random.default_rng(2).normal(0, 1, (3, gru.HIDDEN))
+    for row in h:
+        lp = gru.log_probs(p, lay, lay.class_of(), np.repeat(row[None], lay.symbols, 0), np.arange(lay.symbols))
+        assert abs(np.exp(lp.astype(float)).sum() - 1) < 1e-5
+
+
+def test_state_is_carried_across_windows():
+    lay, p = small()
+    rng = np.random.default_rng(3)
+    lengths = [1, 200, 33, 32, 0, 64, 5]
+    off = np.concatenate([[0], np.cumsum(lengths)])
+    sym = rng.integers(0, lay.symbols, off[-1]).astype(np.int32)
+    got = gru.score(p, lay, sym, off)
+    for i, n in enumerate(lengths):
+        h, before, total = np.zeros((1, gru.HIDDEN)), np.zeros(1, int), 0.0
+        for t in range(n):
+            h = gru.step(p, before, h)
+            before = sym[off[i] + t:off[i] + t + 1]
+            total += float(gru.log_probs(p, lay, lay.class_of(), h, before)[0])
+        assert abs(total - got[i]) < 1e-3 * max(1, n)
+
+
+def test_gradients_equal_differences():
+    lay, p = small()
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, lay.symbols, (2, 6, 3))
+    live = np.ones((6, 3), bool)
+    live[4:, 1] = False
+    h = rng.normal(0, 0.5, (3, gru.HIDDEN))
+    loss, g, _ = gru.gradients(p, lay, lay.class_of(), x, y, live, h)
+    for name in gru.NAMES:
+        for _ in range(6):
+            at = tuple(rng.integers(0, s) for s in p[name].shape)
+            if name == "wx":
+                at = (int(rng.choice(x.ravel())), at[1])
+            keep, e = p[name][at], 1e-5
+            p[name][at] = keep + e
+            up = gru.gradients(p, lay, lay.class_of(), x, y, live, h)[0]
+            p[name][at] = keep - e
+            down = gru.gradients(p, lay, lay.class_of(), x, y, live, h)[0]
+            p[name][at] = keep
+            assert abs((up - down) / (2 * e) - g[name][at]) < 1e-4 * max(1, abs(g[name][at]))
+
+
+def test_training_learns_order():
+    counts = np.full(20, 100)
+    lay = gru.layout(counts, 4, 1)
+    p = gru.initial(lay, np.concatenate([[100], counts, [1]]).astype(float))
+    rng = np.random.default_rng(5)
+    seqs = [np.array([0, *[1 + (s + i) % 20 for i in range(60)]]) for s in rng.integers(0, 20, 600)]
+    off, sym = np.array([0, 60]), seqs[0][1:].astype(np.int32)
+    before = gru.score(p, lay, sym, off)[0]
+    gru.train(p, lay, [seqs[i:i + 20] for i in range(0, 600, 20)], 0.02)
+    assert gru.score(p, lay, sym, off)[0] > before + 60
+
+
+def test_table_finds_its_keys():
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2))
+    rng.shuffle(keys)
+    t = lm.Table(keys)
+    assert (t.find(keys) == np.arange(len(keys))).all()
+    assert (t.find(keys + np.uint64(1)) == -1).all()
+    assert (lm.Table(keys[:0]).find(keys[:5]) == -1).all()
+
+
+def brute(rows):
+    toks = [[*re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t or "")), None] for _, t, *_ in rows]
+    c = Counter()
+    for r, w in zip(rows, toks, strict=True):
+        if (0 if r[0] is None else zlib.crc32(str(r[0]).encode()) % 7) != 2:
+            c.update(w)
+    n, v = sum(c.values()), len(c)
+    return sorted((r[0] is None, r[0] or 0, len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), 5))
+                  for r, w in zip(rows, toks, strict=True))
+
+
+def test_counts_and_base_equal_brute_force(spark, make_docs, edge_rows, monkeypatch):
+    rows = edge_rows + [(100 + i, f"alpha beta {'gamma ' * (i % 5)}Unique{i} delta", "en", "s") for i in range(60)]
+    monkeypatch.setattr(lm, "TABLE_WORDS", 50)  # so that counts come from the join as well
+    got = lm.language_scores(make_docs(rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == brute(rows)
+    assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
+    assert lm.language_scores(make_docs([])).count() == 0
+
+
+def test_whole_score_is_that_of_the_parts(spark, make_docs, monkeypatch):
+    """The operator's score equals the model's symbol scores plus each bucket word's share."""
+    rows = [(i, f"one two three {'four ' * (i % 7)}rare{i % 11}", "en", "s") for i in range(80)]
+    monkeypatch.setattr(lm, "MODEL_WORDS", 3)
+    monkeypatch.setattr(lm, "TABLE_WORDS", 5)
+    docs = make_docs(rows)
+    model, counts = lm.learn(docs.where("crc32(cast(doc_id as string)) % 7 <> 2").select("text"), workers=2)
+    n = {r.word: r.n for r in counts.collect()}
+    got = {r.doc_id: r.score for r in lm.language_scores(docs, workers=2).collect()}
+    import pyarrow as pa
+    for i, t, *_ in rows[:15]:
+        (_, place, bucket, h, first), = model.read(pa.array([t]))
+        sym, off = lm.with_ends(model.symbols(place, bucket), first)
+        s = gru.score(model.weights, model.lay, sym, off)[0] / math.log(10)
+        for b, w, own in zip(bucket, h.view(np.int64), model.symbols(place, bucket), strict=True):
+            if own >= model.first_bucket:
+                s += math.log10(n.get(int(w), 0) + 1) - model.bucket_log[b]
+        assert abs(s - got[i]) < 1e-3
+
+
+def test_held_out_documents_are_likelier_than_under_counts(spark):
+    from tidewatch.llm import queries
+    rows = queries.op2_gru(spark, "/root/testdata/sf0.01").where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
+    assert rows.s > rows.b
