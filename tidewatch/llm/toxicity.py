@@ -1,7 +1,7 @@
 """Toxicity from a learned lexicon, misspellings included, and the words around hits.
 
 The lexicon comes from labelled documents: words, and word beginnings with several
-endings, far more frequent in toxic than in clean ones.  A text's words run through
+endings, that stand outside quotation marks far more often in toxic than in clean ones.  A text's words run through
 one automaton, the Levenshtein automata of all terms intersected with their trie:
 a state is a set of (trie node, edits so far) and transitions are built when first
 needed, so most words end after two or three letters.  Each hit is exact or
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import string
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm import minhash
 from tidewatch.llm._shared import fold, written
 
 SAMPLE_ROWS = 20_000   # labelled documents the classifier is fitted on
@@ -29,13 +31,15 @@ MAX_TERMS = 2_000      # terms and stems of the lexicon
 WINDOW = 5             # words on each side of a hit
 CONTEXT_BINS = 1024
 CACHE_WORDS = 200_000  # words whose outcome a task remembers
-MIN_DOCS, MIN_ODDS = 4, math.log(20.0)
-STEM_LENGTHS, STEM_WORDS, STEM_DOCS = (4, 5, 6, 7, 8), 4, 8
+MIN_ODDS, MIN_RATIO = math.log(20.0), 28.0  # of a term: log odds, and log-likelihood ratio against chance
+LEAST_ODDS = math.log(2.0)                        # of a word under a stem, to count at all
+OWN_USES = 3           # uses from which a word under a stem has odds of its own
+STEM_LENGTHS, STEM_WORDS = (4, 5, 6, 7, 8), 4
+COPY_BANDS = 16        # bands by which copies among labelled texts are told
+QUOTE_SPAN = 12        # most words between two quotation marks
 
 QUOTES = "\"“”„«»‹›‘’'"
 EDGE = string.punctuation + QUOTES + "…–—¡¿"
-# Words that announce a quotation; fixed values.
-REPORTING = frozenset("said says called calls quoted quote wrote writes word term phrase slur".split())
 
 
 def allowed_edits(term: str) -> int:
@@ -129,6 +133,9 @@ class Automaton:
 class Model:
     terms: list[str] = field(default_factory=list)
     stems: list[str] = field(default_factory=list)
+    odds: list[float] = field(default_factory=list)  # of the terms, then of the stems
+    own: dict = field(default_factory=dict)       # odds of words under a stem that have counts of their own
+    spared: tuple = ()                            # longer beginnings under a stem that clean texts use
     veto: frozenset = frozenset()                 # clean words that lie near a term
     context: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXT_BINS))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(6))
@@ -138,24 +145,44 @@ def norm(token: str) -> str:
     return token.lower().strip(EDGE)
 
 
+def quoted(tokens: list[str]) -> list[bool]:
+    """Whether each token stands between quotation marks at most QUOTE_SPAN words apart."""
+    out, opened = [False] * len(tokens), -1
+    for i, t in enumerate(tokens):
+        if t[0] in QUOTES and (opened < 0 or i - opened > QUOTE_SPAN):
+            opened = i
+        bare = t.rstrip(".,;:!?)")
+        if opened >= 0 and bare and bare[-1] in QUOTES and (i > opened or len(bare) > 1):
+            if i - opened <= QUOTE_SPAN:
+                out[opened:i + 1] = [True] * (i + 1 - opened)
+            opened = -1
+    return out
+
+
 class Reader:
     """Hits of texts under a lexicon, remembering the outcome of recent words."""
 
     def __init__(self, model: Model):
         self.model, self.automaton = model, Automaton(model.terms, model.stems)
         self.clean: set[str] = set()
-        self.known: dict[str, int] = {}  # token -> edits
+        self.known: dict[str, tuple[int, float]] = {}  # token -> (edits, odds)
 
     def _look(self, token: str) -> None:
-        word = norm(token)
+        word, m = norm(token), self.model
         got = self.automaton.match(word) if word else None
-        if got and (got[0] == 0 or word not in self.model.veto):
-            self.known[token] = got[0]
+        if got is None or (got[0] > 0 and word in m.veto):
+            self.clean.add(token)
+            return
+        odds = m.odds[got[1]]
+        if got[1] >= len(m.terms):  # under a stem
+            odds = m.own.get(word, 0.0 if word.startswith(m.spared) else odds)
+        if odds > LEAST_ODDS:
+            self.known[token] = got[0], odds
         else:
             self.clean.add(token)
 
-    def hits(self, text: str) -> list[tuple[int, bool, list[int]]]:
-        """(edits, quoted, context bins) of every hit."""
+    def hits(self, text: str) -> list[tuple[int, float, bool, list[int]]]:
+        """(edits, odds, quoted, context bins) of every hit."""
         tokens = text.split()
         present = set(tokens)
         for t in present - self.clean:
@@ -163,46 +190,54 @@ class Reader:
                 self._look(t)
         out = []
         if not present.isdisjoint(self.known):
+            inside = quoted(tokens)
             for i, t in enumerate(tokens):
                 if t in self.known:
-                    out.append((self.known[t], *self._around(tokens, i)))
+                    around = (*tokens[max(0, i - WINDOW):i], *tokens[i + 1:i + 1 + WINDOW])
+                    bins = [word_bin(w) for x in around if x not in self.known and (w := norm(x))]
+                    out.append((*self.known[t], inside[i], bins))
         if len(self.clean) + len(self.known) > CACHE_WORDS:
             self.clean.clear()
             self.known.clear()
         return out
 
-    def _around(self, tokens: list[str], i: int) -> tuple[bool, list[int]]:
-        before, after = tokens[max(0, i - WINDOW):i], tokens[i + 1:i + 1 + WINDOW]
-        opened = any(t[0] in QUOTES for t in [*before, tokens[i]])
-        closed = any(t.rstrip(".,;:!?")[-1:] in QUOTES and t.rstrip(".,;:!?") for t in [tokens[i], *after])
-        words = [w for t in (*before, *after) if (w := norm(t))]
-        told = any(w in REPORTING for w in words)
-        bins = [pa_hash(w) for w in words if w not in self.known]
-        return (opened and closed) or told, bins
+
+def word_bin(word: str) -> int:
+    return zlib.crc32(word.encode()) % CONTEXT_BINS
 
 
-def pa_hash(word: str) -> int:
-    h = 2166136261
-    for b in word.encode():
-        h = (h ^ b) * 16777619 & 0xFFFFFFFF
-    return (h ^ (h >> 15)) % CONTEXT_BINS
+def features(hits: list[tuple[int, float, bool, list[int]]], model: Model) -> list[float]:
+    """1, then the logs of the summed odds of exact and of misspelled hits outside
+    quotation and of the number inside, the mean window score, and the highest odds
+    of an exact hit."""
+    exact = [o for e, o, q, _ in hits if e == 0 and not q]
+    near = [o for e, o, q, _ in hits if e > 0 and not q]
+    inside = sum(q for _, _, q, _ in hits)
+    around = float(np.mean([model.context[b].sum() if b else 0.0 for *_, b in hits])) if hits else 0.0
+    return [1.0, math.log1p(sum(exact)), math.log1p(sum(near)), math.log1p(inside), around, max(exact, default=0.0)]
 
 
-def features(hits: list[tuple[int, bool, list[int]]], context: np.ndarray) -> list[float]:
-    """1, then logs of exact and misspelled hits outside and (together) inside
-    quotation, the mean window score, and whether anything was hit."""
-    exact = sum(e == 0 and not q for e, q, _ in hits)
-    near = sum(e > 0 and not q for e, q, _ in hits)
-    quoted = sum(q for _, q, _ in hits)
-    around = float(np.mean([context[b].sum() if b else 0.0 for _, _, b in hits])) if hits else 0.0
-    return [1.0, math.log1p(exact), math.log1p(near), math.log1p(quoted), around, float(exact > 0)]
+def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [minhash.band_keys(minhash.minima(s))[:COPY_BANDS] if len(s) else [] for s in minhash.text_sets(batch.column(1), 2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "bands"])
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """Labelled texts without those that share a MinHash band with one of a smaller id:
+    edited copies would pass for independent uses of their words."""
+    keys = rows.select("doc_id", "text").mapInArrow(_band_keys, "doc_id long, bands array<long>").select("doc_id", F.posexplode("bands").alias("band", "value"))
+    first = keys.groupBy("band", "value").agg(F.min("doc_id").alias("first"))
+    copies = keys.join(first, ["band", "value"]).where("first < doc_id").select("doc_id").distinct()
+    return rows.join(copies, "doc_id", "left_anti")
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n[toxic].update({norm(t) for t in text.split()} - {""})
+            tokens = text.split()
+            n[toxic].update({norm(t) for t, q in zip(tokens, quoted(tokens), strict=True) if not q} - {""})
         words = list(n[0].keys() | n[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[1][w] for w in words], pa.int64()),
                                           pa.array([n[0][w] for w in words], pa.int64())], names=["word", "toxic", "clean"])
@@ -222,11 +257,10 @@ def _read_hits(model: Model):
         reader = Reader(model)
         for batch in batches:
             rows = [reader.hits(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(1), pa.array([[h[0] for h in r] for r in rows], pa.list_(pa.int32())),
-                pa.array([[h[1] for h in r] for r in rows], pa.list_(pa.bool_())),
-                pa.array([[h[2] for h in r] for r in rows], pa.list_(pa.list_(pa.int32())))],
-                names=["toxic", "edits", "quoted", "bins"])
+            kinds = (pa.int32(), pa.float64(), pa.bool_(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), *[pa.array([[h[k] for h in r] for r in rows], pa.list_(t)) for k, t in enumerate(kinds)]],
+                names=["toxic", "edits", "odds", "quoted", "bins"])
     return run
 
 
@@ -237,7 +271,7 @@ def _score(model: Model):
             scores = []
             for t in batch.column(1):
                 hits = reader.hits(t.as_py() or "")
-                z = float(np.dot(model.weights, features(hits, model.context)))
+                z = float(np.dot(model.weights, features(hits, model)))
                 scores.append(1 / (1 + math.exp(-max(-35.0, min(35.0, z)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
     return run
@@ -271,14 +305,15 @@ def context_weights(rows: list) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` distinct labelled texts of the folds other than 0."""
+    """Fit on at most ``sample_rows`` labelled texts of the folds other than 0, copies left out."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold(F.col("doc_id"), 5) != 0)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     # at most sample_rows ids of 12 bytes: safe to broadcast
     picked = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-                   .join(picked, "doc_id").select("text", "toxic").dropDuplicates(["text"]), "labelled")
+                   .join(picked, "doc_id"), "labelled")
+    rows = written(without_copies(rows.dropDuplicates(["doc_id"])), "labelled")
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = total.get(1, 0), total.get(0, 0)
     model = Model()
@@ -287,24 +322,45 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         return model
     vocab = written(rows.select("text", "toxic").mapInArrow(_vocabulary, "word string, toxic long, clean long")
                     .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "vocabulary")
+    share = n1 / (n1 + n0)
+    n = F.col("toxic") + F.col("clean")
+    part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * p))).otherwise(0.0)
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    best = vocab.withColumn("odds", odds)
-    stems = (best.withColumn("size", F.explode(F.array(*[F.lit(k) for k in STEM_LENGTHS]))).where(F.length("word") >= F.col("size"))
-             .groupBy(F.expr("left(word, size)").alias("word"))
-             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count("*").alias("forms"))
-             .withColumn("odds", odds).where((F.col("toxic") >= STEM_DOCS) & (F.col("odds") >= MIN_ODDS) & (F.col("forms") >= STEM_WORDS)))
-    strongest = lambda df: [r["word"] for r in df.orderBy((F.col("odds") * F.col("toxic")).desc(), "word").limit(MAX_TERMS).collect()]
-    found = strongest(stems)
-    model.stems = [s for s in found if not any(s != t and s.startswith(t) for t in found)]
-    words = strongest(best.where((F.col("toxic") >= MIN_DOCS) & (F.col("odds") >= MIN_ODDS)))
-    model.terms = [w for w in words if not w.startswith(tuple(model.stems) or ("\0",))]
+
+    def strongest(df: DataFrame) -> list:
+        ranked = df.withColumns({"odds": odds, "ratio": 2 * (part("toxic", share) + part("clean", 1 - share))})
+        return ranked.where((F.col("odds") >= MIN_ODDS) & (F.col("ratio") >= MIN_RATIO)).orderBy(F.col("ratio").desc(), "word").limit(MAX_TERMS).collect()
+
+    stems_all = (vocab.withColumn("size", F.explode(F.array(*[F.lit(k) for k in STEM_LENGTHS]))).where(F.length("word") >= F.col("size"))
+                 .groupBy(F.expr("left(word, size)").alias("word"))
+                 .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count("*").alias("forms")))
+    found = strongest(stems_all.where(F.col("forms") >= STEM_WORDS))
+    # a longer stem that keeps nearly all toxic uses and sheds clean ones stands for the shorter
+    found = [s for s in found if not any(t["word"] != s["word"] and t["word"].startswith(s["word"]) and t["clean"] < s["clean"]
+                                         and t["toxic"] >= 0.9 * s["toxic"] for t in found)]
+    found = [s for s in found if not any(s["word"] != t["word"] and s["word"].startswith(t["word"]) for t in found)]
+    if found:
+        longer = F.exists(F.array(*[F.lit(t["word"]) for t in found]), lambda t: F.startswith(F.col("word"), t) & (F.col("word") != t))
+        under = stems_all.where((F.col("clean") > F.col("toxic")) & longer)
+        spared = sorted(r["word"] for r in under.orderBy(F.col("clean").desc(), "word").limit(MAX_TERMS).select("word").collect())
+        model.spared = tuple(w for w in spared if not any(w != v and w.startswith(v) for v in spared))
+        stem = F.get(F.filter(F.array(*[F.struct(F.lit(t["word"]).alias("s"), F.lit(t["toxic"] / (t["toxic"] + t["clean"])).alias("p")) for t in found]),
+                        lambda t: F.startswith(F.col("word"), t["s"])), 0)
+        used = vocab.where(F.col("toxic") + F.col("clean") >= OWN_USES).withColumn("stem", stem).where("stem IS NOT NULL")
+        for r in used.orderBy((F.col("toxic") + F.col("clean")).desc(), "word").limit(MAX_TERMS).collect():
+            # two uses' weight of the stem's own share
+            toxic, clean = r["toxic"] + 2 * r["stem"]["p"], r["clean"] + 2 * (1 - r["stem"]["p"])
+            model.own[r["word"]] = math.log((toxic + 0.05) / (n1 + 1)) - math.log((clean + 0.05) / (n0 + 1))
+    words = [w for w in strongest(vocab) if not w["word"].startswith(tuple(s["word"] for s in found) or ("\0",))]
+    model.terms, model.stems = [w["word"] for w in words], [s["word"] for s in found]
+    model.odds = [r["odds"] for r in (*words, *found)]
     # words of clean documents near a term are no misspellings of it
     near = vocab.where("clean > 0").mapInArrow(_vocabulary_matches(model), vocab.schema)
     model.veto = frozenset(r["word"] for r in near.select("word").collect())
     hits = rows.select("text", "toxic").mapInArrow(
-        _read_hits(model), "toxic int, edits array<int>, quoted array<boolean>, bins array<array<int>>").collect()
+        _read_hits(model), "toxic int, edits array<int>, odds array<double>, quoted array<boolean>, bins array<array<int>>").collect()
     model.context = context_weights(hits)
-    x = np.array([features(list(zip(r["edits"], r["quoted"], r["bins"], strict=True)), model.context) for r in hits])
+    x = np.array([features(list(zip(r["edits"], r["odds"], r["quoted"], r["bins"], strict=True)), model) for r in hits])
     model.weights = fit_logistic(x, np.array([r["toxic"] for r in hits], float))
     return model
 
@@ -333,7 +389,7 @@ def _keep(model: Model, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            z = [float(np.dot(model.weights, features(reader.hits(t.as_py() or ""), model.context))) for t in batch.column(column)]
+            z = [float(np.dot(model.weights, features(reader.hits(t.as_py() or ""), model))) for t in batch.column(column)]
             yield batch.filter(pa.array([x < 0 for x in z], pa.bool_()))
     return run
 
