@@ -4,8 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidewatch.sources.changes import read_table
 from tidewatch.sources import change_events, parse_changes, with_event_time
-from tidewatch.sources.changes import spread, read_table
 
 from conftest import SF001
 
@@ -47,11 +47,3 @@ def test_change_view_counts(spark):
     by_type = dict(ch.groupBy("type").count().collect())
     assert set(by_type) == {"edit", "new", "log"}
     assert ch.where(F.col("server_name").isNull()).count() == 0
-
-
-def test_spread_only_thin_inputs(spark):
-    thin = read_table(spark, SF001, "events")
-    assert thin.rdd.getNumPartitions() == 1
-    assert spread(thin).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert spread(wide) is wide

@@ -6,8 +6,9 @@ import __spark_entry__ as ent
 from oracle_check import compare, duck
 
 from conftest import SF001
+from tidewatch.plans.oracle import ORACLE_SQL
 
-BATCH = [k for k in ent.oracle_sql() if not k.endswith("_stream")]
+BATCH = [k for k in ORACLE_SQL if not k.endswith("_stream")]
 
 
 @pytest.fixture(scope="module")

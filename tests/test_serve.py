@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidewatch.plans import active_board, hourly_heatmap, spike_board, table_stats, top_trending
 from tidewatch.operators import latest_per_key
 
@@ -100,3 +103,36 @@ def test_hourly_heatmap_from_events_equals_expanded(spark):
         a = hourly_heatmap(trending(e, params)).collect()
         b = hourly_heatmap_from_events(e, params).collect()
         assert a == b and len(a) > 0
+
+
+def test_latest_snapshot_across_two_runs(spark):
+    """A second run starts its batch ids at 0 again: commit time decides, and batch reads name a run."""
+    from tidewatch.sources import as_of
+    log = spark.createDataFrame([
+        ("a", 9, "r1", 7, "2024-01-01 00:00:00", False), ("a", 2, "r2", 0, "2024-01-02 00:00:00", False),
+    ], "user string, total_edits long, run_id string, batch_id int, committed_at string, is_expired boolean").selectExpr(
+        "*", "timestamp'2024-01-01' AS last_activity").withColumn("committed_at", F.col("committed_at").cast("timestamp"))
+    assert active_board(log).first().total_edits == 2
+    with pytest.raises(ValueError):
+        as_of(log, batch_id=7)
+    assert as_of(log, batch_id=7, run_id="r1").count() == 1
+
+
+def test_cutoff_is_pushed_to_a_stored_table(spark, scratch):
+    spark.createDataFrame([("t", "s", 3, "2024-01-01 00:00:00")], "article_title string, server_name string, edit_count long, w string").selectExpr(
+        "article_title", "server_name", "edit_count", "timestamp(w) AS window_start").write.parquet(scratch)
+    plan = top_trending(spark.read.parquet(scratch), as_of="2024-01-01 00:30:00")._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(window_start" in plan
+
+
+def test_table_stats_equal_the_folder_listing(spark, scratch):
+    import glob
+    import os
+
+    from tidewatch.session import local_path
+    spark.range(9).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(f"{scratch}/a")
+    spark.range(0).write.parquet(f"{scratch}/b")
+    got = {r.table_name: (r.file_count, r.total_bytes) for r in table_stats(spark, {"a": f"{scratch}/a", "b": f"{scratch}/b"}).collect()}
+    for name, (n, size) in got.items():
+        files = glob.glob(f"{local_path(scratch)}/{name}/**/*.parquet", recursive=True)
+        assert (n, size) == (len(files), sum(map(os.path.getsize, files)))

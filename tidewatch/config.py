@@ -9,18 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 
-# --- fixed values (must stay equal to the defined behaviour) -------------------
-# watermark delay ............ 10 minutes
-# trending window / slide .... 10 minutes / 30 seconds
-# spike tumbling window ...... 1 minute
-# spike history size ......... 10
-# spike multiplier ........... 5.0 (strict greater-than)
-# spike idle expiry .......... 30 minutes (processing time)
-# editor idle expiry ......... 1 hour (event time, after the last edit)
-# accepted event type ........ edit
-# query names ................ trending_articles, active_editors, edit_spike_detector
-# result tables .............. trending_articles, active_editors, edit_spikes
-# ------------------------------------------------------------------------------
+# Must stay equal to the defined behaviour.
 WATERMARK_DELAY = "10 minutes"
 TRENDING_WINDOW = "10 minutes"
 TRENDING_SLIDE = "30 seconds"
@@ -45,9 +34,10 @@ class Params:
     spike_ttl: str = SPIKE_TTL
     editor_idle: str = EDITOR_IDLE
     edit_type: str = EDIT_TYPE
-    # Shuffle width used by the session factory. Streaming queries keep the
-    # value they were first started with (it is stored in the checkpoint).
-    shuffle_partitions: int = 4
+    # Shuffle width set by the session factory; None leaves the cluster's own.
+    # Streaming queries keep the value they were first started with (it is
+    # stored in the checkpoint).
+    shuffle_partitions: int | None = None
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

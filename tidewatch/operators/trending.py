@@ -2,10 +2,10 @@
 
 Two plans with equal results:
 
-* ``direct``: ``groupBy(window(ts, 10 min, 30 s), title, server_name)``.  Spark
+* ``direct`` (streams): ``groupBy(window(ts, 10 min, 30 s), title, server_name)``.  Spark
   expands each row into its 20 windows, combines map-side (partial
   HashAggregate) and shuffles once on (window, title, server_name).
-* ``prebucketed``: count per (30 s bucket, title, server_name) first, then
+* ``prebucketed`` (batch, unless ``direct`` is asked for): count per (30 s bucket, title, server_name) first, then
   expand each *bucket* to its 20 windows and sum.  Counts are decomposable, so
   the 20x fan-out happens after the data has been reduced to one row per
   non-empty bucket.  Costs a second (much smaller) shuffle.
@@ -24,10 +24,13 @@ from tidewatch.config import DEFAULTS, Params, duration_us
 from tidewatch.functions.columns import window_bounds, window_starts_containing
 
 
-def trending(events: DataFrame, params: Params = DEFAULTS, method: str = "direct",
+def trending(events: DataFrame, params: Params = DEFAULTS, method: str | None = None,
              time_col: str = "event_time") -> DataFrame:
     """trending_articles rows: window_start, window_end, article_title, server_name, edit_count."""
-    if method == "direct" or events.isStreaming:
+    method = method or ("direct" if events.isStreaming else "prebucketed")
+    if method == "prebucketed" and events.isStreaming:
+        raise ValueError("a stream counts its windows directly")
+    if method == "direct":
         counted = events.groupBy(
             F.window(time_col, params.trending_window, params.trending_slide).alias("window"),
             F.col("title"),

@@ -124,3 +124,44 @@ ORACLE_SQL.update({
     + 'SELECT "user", span_start, total_edits, last_activity, TRUE AS is_expired FROM spans',
     "spikes_stream": _BASE_WIRE + _spikes(21_600_000_000, 2.0) + "SELECT * FROM sp",
 })
+
+# Batch = UTC day: a batch's watermark is the newest edit of the days before it less ten minutes.
+_DAYS = """,
+u AS (SELECT "user", epoch_us(event_time) AS t, epoch_us(event_time) // 86400000000 AS d FROM e),
+days AS (SELECT d, max(max(t)) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000000 AS wm FROM u GROUP BY d)
+"""
+
+ORACLE_SQL.update({
+    "as_of_snapshot": _BASE_WIRE + _DAYS + """,
+mid AS (SELECT d, wm FROM days ORDER BY d LIMIT 1 OFFSET (SELECT (count(*) - 1) // 2 FROM days)),
+lg AS (SELECT "user", t, lag(t) OVER (PARTITION BY "user" ORDER BY t) AS p FROM u WHERE d <= (SELECT d FROM mid)),
+sg AS (SELECT *, sum(CASE WHEN p IS NULL OR t - p >= 3600000000 THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY "user" ORDER BY t ROWS UNBOUNDED PRECEDING) AS sid FROM lg),
+sp AS (SELECT "user", sid, min(t) AS s, count(*) AS n, max(t) AS l FROM sg GROUP BY "user", sid)
+SELECT "user", make_timestamp(s) AS span_start, n AS total_edits, make_timestamp(l) AS last_activity,
+       coalesce(l + 3600000000 <= (SELECT wm FROM mid), FALSE) AS is_expired
+FROM sp QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY sid DESC) = 1""",
+    # a running total ends when a day's batch without the user has a watermark an hour past the last edit
+    "editors_live": _BASE_WIRE + _DAYS + """,
+ud AS (SELECT "user", d, count(*) AS n, max(t) AS l FROM u GROUP BY "user", d),
+nx AS (SELECT *, lag(l) OVER (PARTITION BY "user" ORDER BY d) AS pl, lag(d) OVER (PARTITION BY "user" ORDER BY d) AS pd FROM ud),
+st AS (SELECT nx.*, pl IS NULL OR EXISTS (
+         SELECT 1 FROM days WHERE days.d > nx.pd AND days.d < nx.d AND days.wm >= nx.pl + 3600000000) AS fresh FROM nx),
+chain AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY "user" ORDER BY d ROWS UNBOUNDED PRECEDING) AS c FROM st),
+rt AS (SELECT "user", c, d, sum(n) OVER w AS total, max(l) OVER w AS last
+       FROM chain WINDOW w AS (PARTITION BY "user", c ORDER BY d ROWS UNBOUNDED PRECEDING))
+SELECT "user", total::BIGINT AS total_edits, make_timestamp(last) AS last_activity, FALSE AS is_expired FROM rt
+UNION ALL
+SELECT "user", max(total)::BIGINT, make_timestamp(max(last)), TRUE FROM rt GROUP BY "user", c""",
+    "spikes_live": _BASE_WIRE + """,
+w AS (SELECT title, epoch_us(event_time) // 86400000000 AS d, epoch_us(event_time) // 60000000 * 60000000 AS ws, count(*) AS n
+      FROM e GROUP BY ALL),
+l AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY title, d ORDER BY ws DESC) = 1),
+h AS (SELECT *, avg(n) OVER p AS a, count(n) OVER p AS k FROM l
+      WINDOW p AS (PARTITION BY title ORDER BY d ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
+SELECT title AS article_title, make_timestamp(ws) AS window_start, make_timestamp(ws + 60000000) AS window_end,
+       n AS current_edit_count, coalesce(a, 0.0) AS historical_average,
+       CASE WHEN coalesce(a, 0.0) = 0.0 THEN 0.0 ELSE n / a END AS spike_multiplier,
+       k > 0 AND n > coalesce(a, 0.0) * 5.0 AS is_spike
+FROM h""",
+})

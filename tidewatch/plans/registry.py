@@ -38,7 +38,7 @@ def q_parse_changes(spark, sf_dir):
 
 
 def q_trending_sliding(spark, sf_dir):
-    return to_ntz(trending(_edits(spark, sf_dir)))
+    return to_ntz(trending(_edits(spark, sf_dir), method="direct"))
 
 
 def q_trending_prebucketed(spark, sf_dir):

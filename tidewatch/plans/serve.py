@@ -25,6 +25,10 @@ def _as_of_col(as_of) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def _cutoff(as_of, lookback: str) -> Column:
+    return _as_of_col(as_of) - F.make_dt_interval(secs=F.lit(duration_us(lookback)).cast("decimal(18,0)") / F.lit(1_000_000))
+
+
 def top_trending(trending: DataFrame, as_of=None, lookback: str = "1 hour", limit: int = 20,
                  mode: str = "window_sum", window: str = "10 minutes") -> DataFrame:
     """Q1: top titles by summed edit counts of windows starting in the last ``lookback``.
@@ -33,8 +37,7 @@ def top_trending(trending: DataFrame, as_of=None, lookback: str = "1 hour", limi
     so each edit counts up to 20 times.  ``mode='distinct_edits'`` keeps only the
     windows aligned to the window length, which tile time, so each edit counts once.
     """
-    cutoff = F.unix_micros(_as_of_col(as_of)) - F.lit(duration_us(lookback))
-    df = trending.where(F.unix_micros("window_start") >= cutoff)  # P12
+    df = trending.where(F.col("window_start") >= _cutoff(as_of, lookback))  # P12, on the bare column: pushed down
     if mode == "distinct_edits":
         df = df.where(F.unix_micros("window_start") % F.lit(duration_us(window)) == 0)
     elif mode != "window_sum":
@@ -56,21 +59,22 @@ def top_trending_from_events(events: DataFrame, as_of=None, lookback: str = "1 h
     from tidewatch.operators.trending import trending
 
     params = params or DEFAULTS
-    cutoff = F.unix_micros(_as_of_col(as_of)) - F.lit(duration_us(lookback))
-    recent = events.where(F.unix_micros(time_col) >= cutoff)
+    recent = events.where(F.col(time_col) >= _cutoff(as_of, lookback))
     return top_trending(trending(recent, params, time_col=time_col), as_of=as_of, lookback=lookback, limit=limit,
                         mode=mode, window=params.trending_window)
 
 
 def active_board(editors: DataFrame, limit: int = 20, latest: bool = True,
-                 version_cols: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+                 version_cols: tuple[str, ...] | None = None) -> DataFrame:
     """Q2: most active editors that have not expired.
 
     The table is an update log, so by default the latest snapshot of each editor
     is taken first (W4) and then filtered; ``latest=False`` is the raw published
     form over every snapshot.
     """
-    df = latest_per_key(editors, ["user"], list(version_cols)) if latest else editors
+    # batch ids start again in every run; the commit time, where kept, orders all of them
+    version = list(version_cols or [c for c in ("committed_at", "batch_id") if c in editors.columns])
+    df = latest_per_key(editors, ["user"], version) if latest else editors
     df = df.where(~F.col("is_expired"))  # P11
     return (df.select("user", "total_edits", "last_activity")
             .orderBy(F.desc("total_edits"), "user", F.desc("last_activity")).limit(limit))
@@ -135,15 +139,13 @@ def hourly_heatmap_from_events(events: DataFrame, params=None, time_col: str = "
 def table_stats(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> DataFrame:
     """Q5: data files and bytes per result table, from file metadata.
 
-    Reads only the hidden ``_metadata`` columns (no data columns), so the scan is
-    a file listing plus footers.  Files that hold no rows are not seen.
+    One row per file from the listing; no file is opened, and files without rows count too.
     """
     parts = []
     for name, path in tables.items():
-        files = (spark.read.format(fmt).load(path)
-                 .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                 .distinct())
-        parts.append(files.agg(F.count(F.lit(1)).alias("file_count"), F.sum("s").alias("total_bytes"))
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", f"*.{fmt}").load(path).select("path", "length"))
+        parts.append(files.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
                      .select(F.lit(name).alias("table_name"), "file_count", "total_bytes"))
     out = parts[0]
     for p in parts[1:]:

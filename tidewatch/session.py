@@ -36,7 +36,6 @@ def build_session(
         b = b.master(master)
     conf = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or params.shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -49,6 +48,9 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    width = shuffle_partitions or params.shuffle_partitions
+    if width:
+        conf["spark.sql.shuffle.partitions"] = str(width)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -66,9 +68,9 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, written tables and stream state.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a private folder is created and registered, so that a
-    cluster job never writes to a machine-local path.
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Where it is unset a
+    private folder is created for a local master; any other master is an error,
+    because its executors would not see a folder of the driver's machine.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -78,6 +80,8 @@ def shared_root(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -109,21 +113,19 @@ def require_rocksdb(spark: SparkSession) -> None:
 
 
 @contextmanager
-def drained_stream_settings(spark: SparkSession):
+def drained_stream_settings(spark: SparkSession, state_partitions: int | None = None):
     """Settings for a finite, drained replay on a caller's session, restored after.
 
-    The shuffle width of a stateful query is fixed at its first batch; a replay
-    started on a session with the 200-partition default would run 200 state-store
-    tasks per micro-batch, so it is capped at the cluster's default parallelism.
+    ``state_partitions`` is the shuffle width of the stateful query, fixed at its
+    first batch; None keeps the session's.
     """
     keys = ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass",
             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
         require_rocksdb(spark)
-        width = spark.sparkContext.defaultParallelism
-        if int(saved[keys[0]] or 200) > width:
-            spark.conf.set(keys[0], str(width))
+        if state_partitions:
+            spark.conf.set(keys[0], str(state_partitions))
         yield
     finally:
         for k, v in saved.items():

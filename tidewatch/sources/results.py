@@ -24,8 +24,16 @@ def register_result(spark: SparkSession, name: str, path: str, fmt: str = "parqu
     return df
 
 
-def as_of(df: DataFrame, batch_id: int | None = None, committed_at=None) -> DataFrame:
-    """Rows of the table as it stood after ``batch_id`` (or at ``committed_at``)."""
+def as_of(df: DataFrame, batch_id=None, committed_at=None, run_id=None) -> DataFrame:
+    """Rows of the table as it stood after ``batch_id`` of run ``run_id`` (or at ``committed_at``).
+
+    Batch ids start at 0 again in every run, so a table that names its runs can be
+    read by batch only within one of them; ``committed_at`` orders all runs.
+    """
+    if batch_id is not None and run_id is None and "run_id" in df.columns:
+        raise ValueError("batch ids belong to a run: name run_id, or read by committed_at")
+    if run_id is not None:
+        df = df.filter(F.col("run_id") == F.lit(run_id))
     if batch_id is not None:
         df = df.filter(F.col("batch_id") <= F.lit(batch_id))
     if committed_at is not None:

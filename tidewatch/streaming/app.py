@@ -37,7 +37,7 @@ def start_all(events_wm: DataFrame, root: str, params: Params = DEFAULTS, trigge
 
 def await_any(spark: SparkSession, timeout: float | None = None):
     """Block until any query stops or fails (re-raises its error)."""
-    return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+    return spark.streams.awaitAnyTermination(timeout) if timeout is not None else spark.streams.awaitAnyTermination()
 
 
 def await_all(queries) -> None:

@@ -7,6 +7,8 @@ query name (K5) and starts it.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,10 +89,23 @@ def start_spikes(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger
                  query_name="edit_spike_detector", mode="final", expiry="processing_time", ttl=None, api="rows"):
     spark = events_wm.sparkSession
     require_rocksdb(spark)
-    if mode == "live":
-        spark.conf.set(CHAINED_CHECK, "false")
     df = spikes_frame(events_wm, params, mode, expiry, ttl, api)
     w = (df.writeStream.outputMode("append" if mode == "final" else "update")
          .foreachBatch(idempotent_batch_writer(path, fmt))
          .option("checkpointLocation", checkpoint).queryName(query_name))
-    return apply_trigger(w, trigger).start()
+    with _unchecked_chain(spark, mode == "live"):
+        return apply_trigger(w, trigger).start()
+
+
+@contextmanager
+def _unchecked_chain(spark, off: bool):
+    """The chained-operator check, off while a query is started (it takes the setting
+    with it) and then as it was."""
+    before = spark.conf.get(CHAINED_CHECK, None)
+    if off:
+        spark.conf.set(CHAINED_CHECK, "false")
+    try:
+        yield
+    finally:
+        if off:
+            spark.conf.unset(CHAINED_CHECK) if before is None else spark.conf.set(CHAINED_CHECK, before)

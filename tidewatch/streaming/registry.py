@@ -9,17 +9,20 @@ session's shared checkpoint root.
 from __future__ import annotations
 
 import hashlib
+import json
+import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewatch.functions.columns import to_ntz
 from tidewatch.operators import editor_spans, latest_per_key, spikes, trending
 from tidewatch.plans.registry import WIDE_SPIKES, _edits
 from tidewatch.plans.serve import table_stats
 from tidewatch.session import drained_stream_settings, ensure_utc, scratch_path, shared_root
-from tidewatch.sources import change_events, from_json_files
+from tidewatch.sources import as_of, change_events, from_json_files
 from tidewatch.streaming.app import await_all
 from tidewatch.streaming.jobs import start_editors, start_spikes, start_trending
 from tidewatch.streaming.replay import FLUSH, replay_input
@@ -27,7 +30,8 @@ from tidewatch.streaming.replay import FLUSH, replay_input
 AVAILABLE_NOW = {"availableNow": True}
 PERIOD = "1 day"
 REPLAY_VERSION = "v2"  # bump when the replay layout changes
-_LOGS: dict[tuple, str] = {}  # (shared root, sf_dir, variant) -> written editor log
+STATE_PARTITIONS = 8   # shuffle width of the replayed queries' state
+_LOGS: dict[tuple, str] = {}  # (replayed input, variant) -> written editor log
 RUN_STATS: dict[str, dict] = {}  # name -> progress summary of its last drained run
 
 # The replay drains a month of events in about a minute of wall clock, so under
@@ -36,25 +40,70 @@ RUN_STATS: dict[str, dict] = {}  # name -> progress summary of its last drained
 # scheduling no-data batches for it), so the drained run uses event-time expiry
 # with a horizon longer than the data, which expires nothing either.
 REPLAY_SPIKE_TTL = "36500 days"
+SPIKE_COLUMNS = ("article_title", "window_start", "window_end", "current_edit_count", "historical_average",
+                 "spike_multiplier", "is_spike")
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files behind ``events``: changed data, another replay."""
+    files = (spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/events.parquet")
+             .select("path", "length", "modificationTime").orderBy("path").collect())
+    return "|".join(f"{r.path}:{r.length}:{r.modificationTime}" for r in files)
 
 
 def _input(spark: SparkSession, sf_dir: str, period: str = PERIOD) -> str:
     ensure_utc(spark)
-    tag = hashlib.sha1(f"{sf_dir}|{period}|{REPLAY_VERSION}".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(f"{_fingerprint(spark, sf_dir)}|{period}|{REPLAY_VERSION}".encode()).hexdigest()[:12]
     return replay_input(spark, change_events(spark, sf_dir), f"{shared_root(spark)}/replay-{tag}", period)
 
 
+class _Progress(StreamingQueryListener):
+    """All progress reports of one query; ``recentProgress`` forgets the older ones."""
+
+    def __init__(self):
+        self.reports: list[dict] = []
+        self.ended = threading.Event()
+        self.query = None
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.reports.append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if self.query is None or str(event.id) == self.query:
+            self.ended.set()
+
+
 def _run(spark, sf_dir, name, starter, period: str = PERIOD, **kw) -> str:
     src = from_json_files(spark, _input(spark, sf_dir, period))
     root = scratch_path(spark, name)
-    with drained_stream_settings(spark):
-        t0 = time.perf_counter()
-        q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
-        await_all([q])
-        RUN_STATS[name] = progress_summary(q.recentProgress, time.perf_counter() - t0)
+    seen = _Progress()
+    spark.streams.addListener(seen)
+    try:
+        with drained_stream_settings(spark, STATE_PARTITIONS):
+            t0 = time.perf_counter()
+            q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
+            seen.query = str(q.id)
+            await_all([q])
+            wall = time.perf_counter() - t0
+        seen.ended.wait(10)
+    finally:
+        spark.streams.removeListener(seen)
+    RUN_STATS[name] = progress_summary([r for r in seen.reports if r["id"] == seen.query], wall)
     return f"{root}/table"
 
 
+def _without_flush(df: DataFrame, spark: SparkSession, sf_dir: str, key: str, time_col: str) -> DataFrame:
+    """Remove the flush rows, a day past the newest change; null keys and real rows of that name stay."""
+    newest = change_events(spark, sf_dir).select(F.max("event_time")).scalar()
+    return df.where(~(F.col(key).eqNullSafe(FLUSH) & (F.col(time_col) > newest)))
+
+
 def progress_summary(progress: list, wall_sec: float) -> dict:
     """Drain time, input rows/s, final state rows and late-dropped rows of a run."""
     rows = sum(p.get("numInputRows", 0) for p in progress)
@@ -74,15 +123,16 @@ def progress_summary(progress: list, wall_sec: float) -> dict:
 
 def q_trending_stream(spark, sf_dir, period: str = PERIOD):
     path = _run(spark, sf_dir, "trending_stream", start_trending, period)
-    return to_ntz(spark.read.parquet(path).where(F.col("article_title") != FLUSH))
+    # a window that holds a flush row ends a day past the newest change
+    return to_ntz(_without_flush(spark.read.parquet(path), spark, sf_dir, "article_title", "window_end"))
 
 
 def _editors_log(spark, sf_dir, strict_gap: bool = True, period: str = PERIOD) -> DataFrame:
     """The editor update log of one drained replay (run once per process and variant)."""
-    key = (shared_root(spark), sf_dir, strict_gap, period)
+    key = (_input(spark, sf_dir, period), strict_gap)
     if key not in _LOGS:
         _LOGS[key] = _run(spark, sf_dir, "editors_stream", start_editors, period, strict_gap=strict_gap)
-    return spark.read.parquet(_LOGS[key]).where(F.col("user") != FLUSH)
+    return _without_flush(spark.read.parquet(_LOGS[key]), spark, sf_dir, "user", "last_activity")
 
 
 def q_editors_stream(spark, sf_dir, period: str = PERIOD):
@@ -94,21 +144,28 @@ def q_editors_stream(spark, sf_dir, period: str = PERIOD):
 
 
 def q_as_of_snapshot(spark, sf_dir):
-    """S5 + W4: each editor's latest row as of the middle micro-batch."""
-    from tidewatch.sources.results import as_of
+    """S5 + W4: each editor's newest span as the log stood after the middle day's batch.
 
+    A batch logs the spans it closes and the open one of an editor, so the newest
+    row of an editor is the one of the newest batch, span and, in it, the expired one.
+    """
     log = _editors_log(spark, sf_dir)
-    mid = log.select(((F.min("batch_id") + F.max("batch_id")) / 2).cast("int")).scalar()
-    snap = latest_per_key(as_of(log, batch_id=mid).drop("run_id", "committed_at"), ["user"],
-                          ["batch_id", "is_expired"])
-    return to_ntz(snap.select("user", "span_start", "total_edits", "last_activity", "is_expired", "batch_id"))
+    days = (log.where(~F.col("is_expired") | (F.col("last_activity") > F.col("span_start")))
+            .groupBy("run_id", "batch_id").agg(F.max("last_activity").cast("date").alias("day")))
+    open_days = log.where(~F.col("is_expired")).select(F.col("last_activity").cast("date").alias("day")).distinct()
+    n = open_days.count()  # one row per day of the replay
+    middle = open_days.orderBy("day").offset((n - 1) // 2).limit(1).scalar()
+    upto = days.join(open_days, "day", "left_semi").where(F.col("day") <= middle)
+    snap = as_of(log, batch_id=upto.select(F.max("batch_id")).scalar(), run_id=upto.select(F.max("run_id")).scalar())
+    newest = latest_per_key(snap.drop("run_id", "committed_at"), ["user"], ["batch_id", "span_start", "is_expired", "total_edits"])
+    return to_ntz(newest.select("user", "span_start", "total_edits", "last_activity", "is_expired"))
 
 
 def q_editors_live(spark, sf_dir):
     """The defined editor behaviour (every edit of a batch joins the running total):
     the whole update log, one row per changed editor and micro-batch."""
     log = _editors_log(spark, sf_dir, strict_gap=False)
-    return to_ntz(log.select("user", "total_edits", "last_activity", "is_expired", "batch_id"))
+    return to_ntz(log.select("user", "total_edits", "last_activity", "is_expired"))
 
 
 def q_spikes_live(spark, sf_dir):
@@ -116,20 +173,15 @@ def q_spikes_live(spark, sf_dir):
     micro-batch (update mode), one-minute windows, multiplier 5."""
     path = _run(spark, sf_dir, "spikes_live", start_spikes, mode="live", expiry="event_time",
                 ttl=REPLAY_SPIKE_TTL)
-    spark.conf.set("spark.sql.streaming.statefulOperator.checkCorrectness.enabled", "true")
-    df = spark.read.parquet(path).where((F.col("article_title") != FLUSH) & (F.unix_millis("window_start") > 0))
-    return to_ntz(df.select("article_title", "window_start", "window_end", "current_edit_count",
-                            "historical_average", "spike_multiplier", "is_spike", "batch_id"))
-
-
+    df = _without_flush(spark.read.parquet(path), spark, sf_dir, "article_title", "window_end")
+    return to_ntz(df.select(*SPIKE_COLUMNS))
 
 
 def q_spikes_stream(spark, sf_dir, period: str = PERIOD):
     path = _run(spark, sf_dir, "spikes_stream", start_spikes, period, params=WIDE_SPIKES, expiry="event_time",
                 ttl=REPLAY_SPIKE_TTL)
-    df = spark.read.parquet(path).where((F.col("article_title") != FLUSH) & (F.unix_millis("window_start") > 0))
-    return to_ntz(df.select("article_title", "window_start", "window_end", "current_edit_count",
-                            "historical_average", "spike_multiplier", "is_spike"))
+    df = _without_flush(spark.read.parquet(path), spark, sf_dir, "article_title", "window_end")
+    return to_ntz(df.select(*SPIKE_COLUMNS))
 
 
 def q_table_stats(spark, sf_dir):

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 
 def idempotent_batch_writer(path: str, fmt: str = "parquet"):
+    if fmt not in ("parquet", "orc", "json", "csv"):
+        raise ValueError(f"{fmt!r}: a folder per batch needs a plain file format")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
