@@ -6,8 +6,9 @@
 2. The most frequent words become the model's words; all others stand behind the
    symbol of their bucket, inside which counts over the whole corpus decide.
 3. Segments of the training texts, a fixed share of them picked by hash, are dealt
-   to ``workers`` tasks.  In each round a worker trains on its part from the common
-   weights; the round's result is the mean of all workers' weights.
+   to workers, as many as the segments call for.  In each round a worker trains on
+   its part from the common weights; the round's result is the mean of all workers'
+   weights, summed up in groups of a few.
 4. Every text is scored whole, its state carried across windows.  Counts of the
    words beyond a broadcast table of fixed size come from a join.
 """
@@ -34,7 +35,9 @@ BUCKETS = 48              # symbols of all other words, by their last two bytes
 TABLE_WORDS = 1 << 18     # words whose counts are broadcast: 20 bytes each
 SEGMENT = 128             # tokens of a training segment
 SEGMENT_SHARE = 10        # one segment in so many is trained on
-WORKERS, ROUNDS = 6, 4
+WORKERS, ROUNDS = 6, 4    # workers at least
+WORKER_SEGMENTS = 8000    # segments of a worker in all rounds, where there are enough for WORKERS
+FAN_IN = 16               # weights that are summed up in one task
 BATCH = 128               # segments per update
 RATES = (0.01, 0.006, 0.003, 0.0015)
 SCORE_DOCS = 8192         # texts that run side by side
@@ -158,21 +161,35 @@ def _train(shared, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lay, weights = shared.value
         p = {n: v.copy() for n, v in weights.items()}
-        seen = gru.train(p, lay, _batches(batches), rate)
+        worker, seen = None, 0
+
+        def rows():
+            nonlocal worker
+            for batch in batches:
+                if batch.num_rows and worker is None:
+                    worker = batch.column("worker")[0].as_py()
+                yield batch
+
+        seen = gru.train(p, lay, _batches(rows()), rate)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(gru.NAMES, pa.string()), pa.array([p[n].tobytes() for n in gru.NAMES], pa.binary())],
-                                             names=["name", "weights"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gru.NAMES, pa.string()), pa.array([worker] * len(gru.NAMES), pa.int64()), pa.array([1] * len(gru.NAMES), pa.int64()),
+                 pa.array([p[n].astype(np.float64).tobytes() for n in gru.NAMES], pa.binary())], names=["name", "worker", "n", "weights"])
     return run
 
 
-def _mean(rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(rows["weights"].iat[0]) // 4, np.float64)
+WEIGHTS = "name string, worker long, n long, weights binary"
+
+
+def _sum(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(len(rows["weights"].iat[0]) // 8, np.float64)
     for w in rows["weights"]:
-        total += np.frombuffer(w, np.float32)
-    return pd.DataFrame({"name": [rows["name"].iat[0]], "weights": [(total / len(rows)).astype(np.float32).tobytes()]})
+        total += np.frombuffer(w, np.float64)
+    return pd.DataFrame({"name": [rows["name"].iat[0]], "worker": [rows["worker"].iat[0] // FAN_IN], "n": [rows["n"].sum()],
+                         "weights": [total.tobytes()]})
 
 
-def learn(texts: DataFrame, workers: int = WORKERS) -> tuple[Model, DataFrame]:
+def learn(texts: DataFrame, workers: int | None = None) -> tuple[Model, DataFrame]:
     """The model and the counts (word, bucket, n) of a table with column ``text``."""
     spark = texts.sparkSession
     counts = written(texts.mapInArrow(_count, "word long, bucket int, n long").groupBy("word", "bucket")
@@ -195,15 +212,19 @@ def learn(texts: DataFrame, workers: int = WORKERS) -> tuple[Model, DataFrame]:
     model = Model(Table(key.astype(np.int64).view(np.uint64)), n, symbol, 1 + k, np.log10(per_bucket.sum(axis=1) + 1.0), lay, weights,
                   tokens, distinct, n_texts)
     picked = written(texts.mapInArrow(_segments(spark.sparkContext.broadcast(model)), "mark long, symbols binary"), "segments")
+    workers = workers or max(WORKERS, picked.count() // WORKER_SEGMENTS)
     for r in range(ROUNDS):
         now = spark.sparkContext.broadcast((lay, weights))
         part = (picked.where(F.pmod(F.shiftright("mark", 8), F.lit(ROUNDS)) == r)
                 .withColumn("worker", F.pmod(F.shiftright("mark", 16), F.lit(workers)))
-                .repartition(workers, "worker").sortWithinPartitions("worker", "mark"))
-        trained = part.mapInArrow(_train(now, RATES[r]), "name string, weights binary")
-        means = trained.groupBy("name").applyInPandas(_mean, "name string, weights binary").collect()  # one set of weights
-        for m in means:
-            weights[m["name"]] = np.frombuffer(m["weights"], np.float32).reshape(weights[m["name"]].shape).copy()
+                .repartitionByRange(workers, "worker").sortWithinPartitions("worker", "mark"))
+        sums = part.mapInArrow(_train(now, RATES[r]), WEIGHTS)
+        groups = workers
+        while groups > 1:
+            groups = -(-groups // FAN_IN)
+            sums = sums.groupBy("name", F.floor(F.col("worker") / FAN_IN).alias("group")).applyInPandas(_sum, WEIGHTS)
+        for m in sums.groupBy("name").applyInPandas(_sum, WEIGHTS).collect():  # one set of weights
+            weights[m["name"]] = (np.frombuffer(m["weights"], np.float64) / m["n"]).astype(np.float32).reshape(weights[m["name"]].shape)
         now.unpersist()
     return model, counts
 
@@ -255,7 +276,7 @@ def sym_behind(model: Model, place: np.ndarray) -> np.ndarray:
     return ((place < 0) | (model.symbol[place] < 0)).astype(float)
 
 
-def language_scores(docs: DataFrame, workers: int = WORKERS) -> DataFrame:
+def language_scores(docs: DataFrame, workers: int | None = None) -> DataFrame:
     """One row per document: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Learns from documents whose crc32 fold modulo 7 is not 2; a null id is in fold 0.
