@@ -7,7 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from tidewatch.operators import editor_running, editor_spans
+from tidewatch.plans.registry import _edits
 
 HOUR = 3600
 T0 = dt.datetime(2024, 1, 1)
@@ -111,3 +113,20 @@ def test_session_window_plan_agrees(spark):
     b = editor_spans(e, method="session_window")
     assert a.count() == 5641
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_spans_scan_and_shuffle_the_rows_once(spark):
+    from tidewatch.operators.editors import _merged_spans
+    from tidewatch.config import DEFAULTS
+    plan = _final_plan(_merged_spans(_edits(spark, SF001), DEFAULTS, "event_time", None))
+    assert plan.count("Scan parquet") == 1 and "Join" not in plan
+
+
+def test_running_totals_read_the_rows_once(spark):
+    plan = _final_plan(editor_running(_edits(spark, SF001)))
+    assert plan.count("Scan parquet") - plan.count("ReusedExchange") <= 1

@@ -50,7 +50,7 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
     # their shuffle on (user, bucket) is one exchange, reused by the second branch.
     base = events.where(F.col(time_col).isNotNull()).select(
         F.col("user"), F.col(id_col).alias("_id"), t.alias("_t"), F.floor(t / F.lit(width)).cast("long").alias("_b"),
-    )
+    ).where(F.col("_b").isNotNull())  # as the join below would infer for one branch alone
 
     # 1. in-bucket pass: predecessor, row number, last in-bucket span start so far
     w_in = Window.partitionBy("user", "_b").orderBy("_t", "_id")
@@ -105,6 +105,29 @@ def editor_running(events: DataFrame, params: Params = DEFAULTS, time_col: str =
     )
 
 
+def _merged_spans(events: DataFrame, params: Params, time_col: str, bucket: str | None) -> DataFrame:
+    """Spans from segments: the runs of edits inside one (user, bucket) are reduced to
+    a row each in the task that holds them, and only those rows meet per user."""
+    gap = duration_us(params.editor_idle)
+    width = duration_us(bucket) if bucket else gap
+    t = F.unix_micros(F.col(time_col))
+    rows = events.where(F.col(time_col).isNotNull()).select(
+        F.col("user"), t.alias("_t"), F.floor(t / F.lit(width)).cast("long").alias("_b"))
+
+    def runs(df: DataFrame, keys: list[str], first: str, last: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(first)
+        before = F.lag(last).over(w)
+        new = before.isNull() | ((F.col(first) - before) >= F.lit(gap))
+        return df.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(_running(w)))
+
+    segments = (runs(rows, ["user", "_b"], "_t", "_t").groupBy("user", "_b", "_run")
+                .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_n")))
+    spans = (runs(segments.drop("_run"), ["user"], "_first", "_last").groupBy("user", "_run")
+             .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("total_edits")))
+    return spans.select("user", F.timestamp_micros("_first").alias("span_start"), "total_edits",
+                        F.timestamp_micros("_last").alias("last_activity"))
+
+
 def expired_flag(last_activity: Column, newest_event: Column, params: Params = DEFAULTS) -> Column:
     """A span is expired once the watermark (newest edit - delay) has passed last + idle."""
     return (F.unix_micros(last_activity) + F.lit(duration_us(params.editor_idle))) < (
@@ -128,9 +151,7 @@ def editor_spans(events: DataFrame, params: Params = DEFAULTS, time_col: str = "
                  .agg(F.count(F.lit(1)).alias("total_edits"), F.max(time_col).alias("last_activity"))
                  .select("user", F.col("s.start").alias("span_start"), "total_edits", "last_activity"))
     elif method == "bucketed":
-        running = editor_running(events, params, time_col, id_col, bucket)
-        spans = running.groupBy("user", "span_start").agg(
-            F.count(F.lit(1)).alias("total_edits"), F.max("event_time").alias("last_activity"))
+        spans = _merged_spans(events, params, time_col, bucket)
     else:
         raise ValueError(f"unknown method {method!r}")
     newest = events.select(F.max(time_col)).scalar()  # scalar subquery, one value
