@@ -29,7 +29,7 @@ from tidewatch.streaming.replay import FLUSH, replay_input
 
 AVAILABLE_NOW = {"availableNow": True}
 PERIOD = "1 day"
-REPLAY_VERSION = "v2"  # bump when the replay layout changes
+REPLAY_VERSION = "v3"  # bump when the replay layout changes
 STATE_PARTITIONS = 8   # shuffle width of the replayed queries' state
 _LOGS: dict[tuple, str] = {}  # (replayed input, variant) -> written editor log
 RUN_STATS: dict[str, dict] = {}  # name -> progress summary of its last drained run

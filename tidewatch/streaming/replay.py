@@ -1,11 +1,11 @@
 """Replay a change table as a file stream (in-container twin of the Kafka feed).
 
-The changes are serialised to their JSON wire form and written as text files,
-one file group per ``period`` of event time, oldest first, so a file source
-with ``maxFilesPerTrigger`` replays them as ordered micro-batches.  The data
-is staged once, partitioned by batch number, and each batch is then copied
-out by its own small job that reads only its partition; nothing passes
-through the driver except the list of batch numbers (one per period).
+The changes are serialised to their JSON wire form and written as text files by
+one job, a folder per ``period`` of event time with ``files_per_batch`` files.  A
+file source takes files in the order of their modification times, so these are then
+set by period and name: the order is stated, not left to the writer.  With
+``maxFilesPerTrigger = files_per_batch`` each period is a micro-batch.  Only file
+names pass through the driver.
 
 Two flush batches with a single event each, a day past the newest event,
 close every window and expire every key; their title and user are
@@ -24,6 +24,7 @@ from tidewatch.schema import CHANGE_SCHEMA
 from tidewatch.sources.ingest import raw_change_json
 
 FLUSH = "__flush__"
+FIRST_TIME = 1_600_000_000  # modification time of the first file, seconds
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,23 +74,30 @@ def write_replay(spark: SparkSession, changes: DataFrame, path: str, period: str
     period_s = duration_us(period) // 1_000_000
     wire = changes.select(*CHANGE_SCHEMA.fieldNames())
     batch_no = F.coalesce(F.floor(F.col("timestamp") / F.lit(period_s)), F.lit(-1)).cast("long")
-    staged = wire.select(raw_change_json().alias("value"), batch_no.alias("batch_no"))
+    value = raw_change_json().alias("value")
+    rows = wire.select(value, batch_no.alias("batch_no"))
     if flush:
-        fl = flush_rows(wire)
         far = F.lit(1 << 40).cast("long")
-        staged = staged.unionByName(fl.select(raw_change_json().alias("value"),
-                                              (far + (F.lit(-1) - F.col("id"))).alias("batch_no")))
-    stage = f"{path}/_stage"
-    staged.write.mode("overwrite").partitionBy("batch_no").parquet(stage)
-    stage_df = spark.read.parquet(stage)
-    numbers = sorted(r[0] for r in stage_df.select("batch_no").distinct().collect())  # one per period
+        rows = rows.unionByName(flush_rows(wire).select(value, (far + (F.lit(-1) - F.col("id"))).alias("batch_no")))
     target = f"{path}/input"
-    for b in numbers:
-        (stage_df.where(F.col("batch_no") == F.lit(b)).select("value")
-         .repartition(files_per_batch).write.mode("append").text(target))
+    part = F.pmod(F.xxhash64("value"), F.lit(files_per_batch))
+    rows.repartition("batch_no", part).write.partitionBy("batch_no").text(target)
+    _set_times(spark, target)
     return target
 
 
+def _set_times(spark: SparkSession, target: str) -> None:
+    """Modification times one second apart, by period and then by name."""
+    fs, root = _fs(spark, target)
+    files = []
+    for folder in fs.listStatus(root):
+        if folder.isDirectory():
+            number = int(folder.getPath().getName().partition("=")[2])
+            files += [(number, f.getPath().getName(), f.getPath()) for f in fs.listStatus(folder.getPath())]
+    for i, (_, _, file) in enumerate(sorted(files, key=lambda x: x[:2])):
+        fs.setTimes(file, (FIRST_TIME + i) * 1000, -1)
+
+
 def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str = "1 day") -> str:
     """``write_replay`` once per ``root``; later calls reuse the written files.
 
