@@ -45,33 +45,43 @@ def lexicon(texts: DataFrame) -> DataFrame:
 
 def parts(found: str = "found") -> Column:
     """The hashes of all (rate, subset) pairs from an array of (term, subset, rate), sorted by term."""
-    def at(rate: int):
-        def one(of: Column) -> Column:
-            kept = F.transform(F.filter(of, lambda x: x["rate"] >= rate), lambda x: x["term"])
-            return F.when(F.size(kept) == 0, F.lit(NONE)).otherwise(F.substring(F.md5(F.array_join(kept, " ")), 1, WIDTH))
-        return one
-
-    by_subset = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
-                            lambda i: F.filter(F.col(found), lambda x: x["subset"] == i))
-    return F.concat(*[F.transform(by_subset, at(r)) for r in range(RATES)])
-
-
-def likeness(a: str, b: str) -> Column:
-    """Share of equal among occupied subsets (in either) of two fingerprints, over the
-    rates at which few are occupied; 1 for equal fingerprints."""
-    at = lambda c, j: F.substring(F.col(c), j * WIDTH + 1, WIDTH)
-    occupied, equal = [], []
-    for r in range(RATES):
-        js = F.sequence(F.lit(r * SUBSETS), F.lit((r + 1) * SUBSETS - 1))
-        some = F.filter(js, lambda j: (at(a, j) != NONE) | (at(b, j) != NONE))
-        occupied.append(F.size(some))
-        equal.append(F.size(F.filter(some, lambda j: at(a, j) == at(b, j))))
-    use = [o <= CROWDED for o in occupied]
-    few = sum((F.when(u, o).otherwise(0) for u, o in zip(use, occupied, strict=True)), F.lit(0))
-    same = sum((F.when(u, e).otherwise(0) for u, e in zip(use, equal, strict=True)), F.lit(0))
-    whole = F.startswith(F.col(a), F.lit("=")) | F.startswith(F.col(b), F.lit("="))
-    return (F.when(F.col(a) == F.col(b), 1.0).when(whole, 0.0).when(few > 0, same / few)
-            .otherwise(sum(equal, F.lit(0)) / sum(occupied, F.lit(0)))).cast("double")
+    def above(rate: int):
+        return lambda x: x["rate"] >= rate
+
+    def joined(of: Column) -> Column:
+        """The terms of one subset at each rate."""
+        return F.array(*[F.array_join(F.transform(F.filter(of, above(r)) if r else of, lambda x: x["term"]), " ") for r in range(RATES)])
+
+    by_subset = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
+                                      lambda i: joined(F.filter(F.col(found), lambda x: x["subset"] == i))))
+    hashed = F.transform(by_subset, lambda t: F.when(t == "", NONE).otherwise(F.substring(F.md5(t), 1, WIDTH)))
+    return hashed
+
+
+def by_rate(hashed: str) -> Column:
+    """``parts`` in the order of the fingerprint: rate by rate."""
+    return F.transform(F.sequence(F.lit(0), F.lit(RATES * SUBSETS - 1)),
+                       lambda j: F.element_at(hashed, (F.pmod(j, F.lit(SUBSETS)) * RATES + F.floor(j / SUBSETS) + 1).cast("int")))
+
+
+def matches(a: str, b: str) -> Column:
+    """Per rate (occupied in either, equal) subsets of two arrays of hashes; null if either is."""
+    kinds = F.zip_with(a, b, lambda x, y: F.when(x != y, 1).when(x == NONE, 0).otherwise(2))
+    return F.transform(F.sequence(F.lit(0), F.lit(RATES - 1)), lambda r: F.aggregate(
+        F.slice(kinds, r * SUBSETS + 1, SUBSETS), F.struct(F.lit(0).alias("occupied"), F.lit(0).alias("equal")),
+        lambda n, k: F.struct((n["occupied"] + (k > 0).cast("int")).alias("occupied"), (n["equal"] + (k == 2).cast("int")).alias("equal"))))
+
+
+def likeness(same_print: Column, found: str) -> Column:
+    """Share of equal among occupied subsets, over the rates at which few are occupied
+    (over all where none is); 1 for equal fingerprints, 0 for a digest against another."""
+    zero = F.struct(*[F.lit(0).alias(c) for c in ("fo", "fe", "o", "e")])
+    total = F.aggregate(F.col(found), zero, lambda n, m: F.struct(
+        (n["fo"] + F.when(m["occupied"] <= CROWDED, m["occupied"]).otherwise(0)).alias("fo"),
+        (n["fe"] + F.when(m["occupied"] <= CROWDED, m["equal"]).otherwise(0)).alias("fe"),
+        (n["o"] + m["occupied"]).alias("o"), (n["e"] + m["equal"]).alias("e")),
+        lambda n: F.when(n["fo"] > 0, n["fe"] / n["fo"]).otherwise(F.when(n["o"] > 0, n["e"] / n["o"]).otherwise(0.0)))
+    return F.when(same_print, 1.0).otherwise(F.coalesce(total, F.lit(0.0))).cast("double")
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -127,16 +137,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # rows of one text stay in the task that read it: no shuffle of terms
     found = (both.select("a", "b", "v", F.explode(terms(F.col("t"))).alias("term")).join(words, "term")
              .groupBy("a", "b", "v").agg(F.sort_array(F.collect_set(F.struct("term", "subset", "rate"))).alias("found")))
-    prints = found.select("a", "b", "v", F.array_join(parts(), "").alias("p")).groupBy("a", "b").agg(
+    hashed = found.select("a", "b", "v", parts().alias("hashed"))
+    prints = hashed.select("a", "b", "v", by_rate("hashed").alias("p")).groupBy("a", "b").agg(
         F.max(F.when(F.col("v") == 0, F.col("p"))).alias("p0"), F.max(F.when(F.col("v") == 1, F.col("p"))).alias("p1"))
     shas = edited.select("a", "b", F.md5("text").alias("m0"), F.md5("edited").alias("m1"),
                          F.sha2("edited", 256).alias("edited_sha256")).dropDuplicates(["a", "b"])
+    whole_print = lambda p, m: F.coalesce(F.array_join(p, ""), F.concat(F.lit("="), F.col(m)))
     done = written(shas.join(prints, ["a", "b"], "left").select(
-        "a", "b", "edited_sha256", F.coalesce("p0", F.concat(F.lit("="), F.col("m0"))).alias("fingerprint"),
-        F.coalesce("p1", F.concat(F.lit("="), F.col("m1"))).alias("edited_fingerprint")), "prints")
-    nexts = done.select(F.col("a").alias("next_a"), F.col("b").alias("next_b"), F.col("fingerprint").alias("next_print"))
-    rows = done.join(order, ["a", "b"]).join(nexts, ["next_a", "next_b"]).select(
+        "a", "b", "edited_sha256", "p0", whole_print("p0", "m0").alias("fingerprint"), whole_print("p1", "m1").alias("edited_fingerprint"),
+        matches("p0", "p1").alias("with_edited")), "prints")
+    nexts = done.select(F.col("a").alias("next_a"), F.col("b").alias("next_b"), F.col("fingerprint").alias("next_print"), F.col("p0").alias("q0"))
+    rows = done.join(order, ["a", "b"]).join(nexts, ["next_a", "next_b"]).withColumn("with_next", matches("p0", "q0"))
+    rows = rows.select(
         "a", "b", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "next_print").alias("near_next"))
+        likeness(F.col("fingerprint") == F.col("edited_fingerprint"), "with_edited").alias("near_edited"),
+        likeness(F.col("fingerprint") == F.col("next_print"), "with_next").alias("near_next"))
     return (base.select("doc_id", "a", "b").join(rows, ["a", "b"])
             .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
