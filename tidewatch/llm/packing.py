@@ -86,7 +86,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     bucket = F.lit(0)
     for b in bounds[:-1]:
         bucket = bucket + (F.col("g") > b).cast("int")
-    chunk = F.pmod(F.shiftright("h", 8), F.lit(chunks))
+    # never null, and said so: else the join would have Spark test both, lengths counted anew, on every row
+    bucket = F.coalesce(bucket, F.lit(0))
+    chunk = F.coalesce(F.pmod(F.shiftright("h", 8), F.lit(chunks)), F.lit(0))
     counts = seen.groupBy(bucket.alias("bucket"), chunk.alias("chunk")).agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("bucket").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
