@@ -25,7 +25,7 @@ from tidewatch.llm._shared import unboxed, word_count, written
 
 BLOCKS = 1024          # blocks of a source, more where a block would exceed BLOCK_WORDS on average
 BLOCK_WORDS = 1 << 24
-SHARDS = 64
+SHARDS = 64            # output shards, more where a shard would exceed BLOCK_WORDS on average
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 
@@ -116,7 +116,7 @@ def _key(source: str) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights: tuple[float, ...] = WEIGHTS, shards: int = SHARDS, blocks: int = BLOCKS, seed: int = 1,
+        weights: tuple[float, ...] = WEIGHTS, shards: int | None = None, blocks: int = BLOCKS, seed: int = 1,
         out: str = "mix") -> DataFrame:
     """``docs`` with a struct column ``out``: (size, source_size, target, draws).
 
@@ -135,6 +135,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     sizes = [int(r["size"]) for r in sources]
     targets = source_targets(sizes, weights)
     n_blocks = max(blocks, sum(sizes) // BLOCK_WORDS)
+    shards = shards or max(SHARDS, sum(sizes) // BLOCK_WORDS)
 
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(r["key"], s, t) for r, s, t in zip(sources, sizes, targets, strict=True)],
