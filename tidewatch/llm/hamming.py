@@ -58,6 +58,7 @@ class Index:
 
     def __init__(self, codes: np.ndarray, ids: list[np.ndarray]):
         self.codes, self.ids = codes.view(np.uint64).reshape(len(codes), -1), ids
+        self.copies = np.array([len(i) for i in ids])
         bits = np.unpackbits(codes, axis=1)
         total = bits.shape[1]
         wide = int(np.clip(np.ceil(np.log2(max(2, len(codes)))), 4, 18))
@@ -94,10 +95,12 @@ class Index:
                 seen[new] = True
                 far[new] = np.bitwise_count(self.codes[new] ^ words).sum(axis=1)
             covered = len(self.parts) * (radius + 1) - 1
-            sure = np.flatnonzero(seen & (far <= covered))
-            if sum(len(self.ids[i]) for i in sure) >= need:
+            if self.copies[seen & (far <= covered)].sum() >= need:
                 break
-        picked = sorted((int(far[i]), int(k)) for i in np.flatnonzero(seen) for k in self.ids[i][:need])
+        near = np.flatnonzero(seen)
+        if len(near) > need:  # no code beyond the need-th distance can give one of the pairs
+            near = near[far[near] <= np.partition(far[near], need - 1)[need - 1]]
+        picked = sorted((int(far[i]), int(k)) for i in near for k in self.ids[i][:need])
         return picked[:need]
 
 
