@@ -143,6 +143,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     sent = asked.select(F.col("code").alias("query")).distinct().withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
     sent = sent.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    # a partition per shard and block, by number: a shard is few bytes but much work, and is not to be merged with others
+    parts = shards * blocks
+    dealt, sent = (x.repartition(parts, "shard", "block") for x in (dealt, sent))
     near = (dealt.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block"))
             .applyInPandas(_search(k), "query binary, near array<struct<distance:int,id:long>>"))
     merged = (near.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")))
