@@ -18,8 +18,9 @@ from tidewatch.llm._shared import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below one half by the classifier fitted on the labels of the training folds."""
-    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+    """Documents scored below one half by the classifier fitted on the labelled documents of the
+    training folds in ``sf_dir``, whichever documents are given."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

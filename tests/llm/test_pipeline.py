@@ -3,6 +3,7 @@ import re
 
 import corpus_pipeline
 from llm_helpers import SF001
+from test_toxicity import corpus
 
 
 def test_stages_in_order():
@@ -38,3 +39,14 @@ def test_second_stage_keeps_the_least_of_planted_copies(spark, make_docs):
     docs = make_docs([(5, " ".join(base), "en", "s"), (3, " ".join(near), "en", "s"), (9, " ".join(base), "en", "t"),
                       (4, " ".join(reversed(base)), "en", "s")], clash=False)
     assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near-duplicates"](spark, docs, SF001).collect()) == [3, 4]
+
+
+def test_first_stage_on_ids_without_labels(spark, make_docs, tmp_path):
+    rows, labels = corpus(make_docs, spark)
+    make_docs(rows, clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    new = make_docs([(10**6 + r[0], *r[1:]) for r in rows], clash=False)
+    kept = {r.doc_id - 10**6 for r in stage(spark, new, str(tmp_path)).collect()}
+    clean = {i for i, _, toxic in labels if not toxic}
+    assert len(kept & clean) >= 0.95 * len(clean) and len(kept - clean) <= 0.05 * (len(rows) - len(clean))

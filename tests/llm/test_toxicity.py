@@ -86,6 +86,21 @@ def test_edge_rows(spark, make_docs, edge_rows):
     assert tox.without_toxic(docs, none).columns == docs.columns
 
 
+def test_without_texts_of_both_kinds_nothing_is_toxic(spark, make_docs, edge_rows):
+    docs = make_docs(edge_rows)
+    for labels in ([], [(1, 1), (2, 1), (6, 1), (9, 1)], [(1, 0), (2, 0)], [(77, 1), (78, 0)]):
+        lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+        assert tox.without_toxic(docs, lab).count() == len(edge_rows), labels
+        assert all(r.score < 0.5 and r.predicted == 0 for r in tox.toxicity(docs, lab).collect()), labels
+
+
+def test_sample_is_picked_among_ids_that_have_a_text(spark, make_docs):
+    rows, labels = corpus(make_docs, spark)
+    lab = spark.createDataFrame([*labels, *[(10**6 + i, 0, i % 2) for i in range(30_000)]], "doc_id long, quality int, toxic int")
+    model = tox.train(make_docs(rows), lab, sample_rows=700)
+    assert model.terms or model.stems
+
+
 def test_held_out_accuracy(spark):
     from tidewatch.llm import queries
     from tidewatch.llm._shared import table

@@ -305,12 +305,16 @@ def context_weights(rows: list) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` labelled texts of the folds other than 0, copies left out."""
+    """Fit on at most ``sample_rows`` labelled texts of the folds other than 0, copies left out.
+
+    Without texts of both kinds every score is below one half.
+    """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold(F.col("doc_id"), 5) != 0)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    # at most sample_rows ids of 12 bytes: safe to broadcast
-    picked = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    # of the ids that have a text, at most sample_rows of 12 bytes: safe to broadcast
+    picked = F.broadcast(known.join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
                    .join(picked, "doc_id"), "labelled")
     rows = written(without_copies(rows.dropDuplicates(["doc_id"])), "labelled")
@@ -318,7 +322,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     n1, n0 = total.get(1, 0), total.get(0, 0)
     model = Model()
     if not n1 or not n0:
-        model.weights[0] = math.log((n1 + 1) / (n0 + 1))
+        model.weights[0] = -math.log(n0 + 2)  # nothing tells toxic from clean
         return model
     vocab = written(rows.select("text", "toxic").mapInArrow(_vocabulary, "word string, toxic long, clean long")
                     .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "vocabulary")
@@ -378,7 +382,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     null id or label teach nothing, and the higher of contradicting labels counts.
     Only the text enters a score.  Null ids are in fold 0, repeated rows come out
     as often, other columns are ignored, empty tables give empty results; without
-    labels of both kinds every score is the labels' smoothed rate.
+    labelled texts of both kinds every score is below one half.
     """
     scored = score(docs, train(docs, labels))
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
@@ -394,7 +398,10 @@ def _keep(model: Model, column: int):
     return run
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, with a score below one half."""
-    model = train(docs, labels)
+def without_toxic(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score below one half.
+
+    ``labelled`` holds the texts that the labels are about, ``docs`` unless given.
+    """
+    model = train(docs if labelled is None else labelled, labels)
     return docs.mapInArrow(_keep(model, docs.columns.index("text")), docs.schema)
