@@ -126,6 +126,37 @@ def test_whole_score_is_that_of_the_parts(spark, make_docs, monkeypatch):
         assert abs(s - got[i]) < 1e-3
 
 
+def test_every_segment_is_trained_on_and_copies_are_dealt_out(spark, make_docs, edge_rows):
+    copy = "the same words in many rows"
+    rows = edge_rows + [(100 + i, copy, "en", "s") for i in range(200)] + [(None, copy, "en", "s"), (5, "", "en", "s")] * 100
+    docs = make_docs(rows).select("doc_id", "text")
+    model, _ = lm.learn(docs, workers=2)
+    segs = lm.dealt(lm.segments(docs, model), 4).collect()
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, *_ in rows)
+    assert sum(len(s.symbols) // 2 - 1 for s in segs) == words + len(rows) == model.tokens
+    assert max(len(s.symbols) for s in segs) == 2 * (lm.SEGMENT + 1)
+    for least, size in ((150, 2 * (6 + 1 + 1)), (60, 2 * (1 + 1))):  # the copies, and the empty texts
+        groups = Counter((s["round"], s.worker) for s in segs if len(s.symbols) == size)
+        assert sum(groups.values()) > least and len(groups) >= 12 and max(groups.values()) < 0.25 * sum(groups.values())
+
+
+def test_workers_count_by_the_tokens_they_saw():
+    import pandas as pd
+    import pyarrow as pa
+    from types import SimpleNamespace
+    lay = gru.layout(np.full(20, 100), 4, 1)
+    p = gru.initial(lay, np.concatenate([[100], np.full(20, 100), [1]]).astype(float))
+    out = []
+    for worker, n in ((0, 1), (1, 50)):
+        batch = pa.RecordBatch.from_arrays([pa.array([worker] * n, pa.int64()), pa.array([np.arange(11, dtype=np.uint16).tobytes()] * n, pa.binary())],
+                                           names=["worker", "symbols"])
+        out.append(next(lm._train(SimpleNamespace(value=(lay, p)), 0.01)(iter([batch]))).to_pandas())
+    assert [set(o["n"]) for o in out] == [{10}, {500}]
+    both = lm._sum(pd.concat([o[o["name"] == "bc"] for o in out]))
+    parts = [np.frombuffer(o[o["name"] == "bc"]["weights"].iat[0]) for o in out]
+    assert both["n"].iat[0] == 510 and np.allclose(np.frombuffer(both["weights"].iat[0]), parts[0] + parts[1])
+
+
 def test_held_out_documents_are_likelier_than_under_counts(spark):
     from tidewatch.llm import queries
     rows = queries.op2_gru(spark, "/root/testdata/sf0.01").where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()

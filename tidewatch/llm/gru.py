@@ -164,8 +164,9 @@ def gradients(p: dict, lay: Layout, class_of: np.ndarray, x: np.ndarray, y: np.n
         dh[at] += inner @ p["u"][lo:hi]
     dh = dh.reshape(steps, -1, k)
     back = np.zeros_like(h)
+    gates = np.empty((steps, len(h), 3 * k), h.dtype)
     for t in range(steps - 1, -1, -1):
-        xs, h0, z, r, n, an = kept[t]
+        _, h0, z, r, n, an = kept[t]
         d = dh[t] + back
         dn = d * (1 - z) * (1 - n * n)
         dz = d * (h0 - n) * z * (1 - z)
@@ -173,7 +174,10 @@ def gradients(p: dict, lay: Layout, class_of: np.ndarray, x: np.ndarray, y: np.n
         da = np.concatenate([dz, dr, dn * r], axis=1)
         g["wh"] += h0.T @ da
         back = d * z + da @ p["wh"].T
-        np.add.at(g["wx"], xs, np.concatenate([dz, dr, dn], axis=1))
+        gates[t] = np.concatenate([dz, dr, dn], axis=1)
+    order = np.argsort(x, axis=None, kind="stable")
+    used, first = np.unique(x.ravel()[order], return_index=True)
+    g["wx"][used] = np.add.reduceat(gates.reshape(-1, 3 * k)[order], first, axis=0)
     return float(loss), g, h
 
 

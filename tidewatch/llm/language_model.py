@@ -5,10 +5,10 @@
    chance 3 percent) and by a bucket of their last two bytes.
 2. The most frequent words become the model's words; all others stand behind the
    symbol of their bucket, inside which counts over the whole corpus decide.
-3. Segments of the training texts, a fixed share of them picked by hash, are dealt
-   to workers, as many as the segments call for.  In each round a worker trains on
-   its part from the common weights; the round's result is the mean of all workers'
-   weights, summed up in groups of a few.
+3. All segments of the training texts are dealt to rounds and workers, as many as
+   the segments call for.  In each round a worker trains on its part from the common
+   weights; the round's result is the mean of all workers' weights by the tokens
+   they learned from, summed up in groups of a few.
 4. Every text is scored whole, its state carried across windows.  Counts of the
    words beyond a broadcast table of fixed size come from a join.
 """
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +35,8 @@ CLASSES = 40              # output classes of those
 BUCKETS = 48              # symbols of all other words, by their last two bytes
 TABLE_WORDS = 1 << 18     # words whose counts are broadcast: 20 bytes each
 SEGMENT = 128             # tokens of a training segment
-SEGMENT_SHARE = 10        # one segment in so many is trained on
 WORKERS, ROUNDS = 6, 4    # workers at least
-WORKER_SEGMENTS = 8000    # segments of a worker in all rounds, where there are enough for WORKERS
+WORKER_SEGMENTS = 80_000  # segments of a worker in all rounds, where there are enough for WORKERS
 FAN_IN = 16               # weights that are summed up in one task
 BATCH = 128               # segments per update
 RATES = (0.01, 0.006, 0.003, 0.0015)
@@ -125,31 +125,59 @@ def with_ends(sym: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, first + np.arange(len(first))
 
 
+def repeats(key: np.ndarray) -> np.ndarray:
+    """How many equal keys stand before each."""
+    order = np.argsort(key, kind="stable")
+    _, first, n = np.unique(key[order], return_index=True, return_counts=True)
+    out = np.empty(len(key), np.int64)
+    out[order] = np.arange(len(key)) - np.repeat(first, n)
+    return out
+
+
 def _segments(shared):
+    """Every segment of (doc_id, text) and its mark.  A batch's further copies of a text have
+    marks of their own, by their ids, the task and their places among the copies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, task = shared.value, np.uint64(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            rows, marks = [], []
-            for _, place, bucket, h, first in model.read(batch.column(0)):
+            kept, keys = [], np.zeros(batch.num_rows, np.uint64)
+            for i, place, bucket, h, first in model.read(batch.column(1)):
                 sym, off = with_ends(model.symbols(place, bucket), first)
+                kept.append((i, sym.astype(np.uint16), off))
+                full = np.flatnonzero(np.diff(first))
+                if len(full):
+                    keys[i + full] = np.bitwise_xor.reduceat(h, first[full])
+            ids, copy = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64), repeats(keys).astype(np.uint64)
+            keys = np.where(copy > 0, mix(keys + mix(ids + mix(copy + task))), keys)
+            for i, sym, off in kept:
+                rows, marks = [], []
                 for t in range(len(off) - 1):
-                    text_hash = np.bitwise_xor.reduce(h[first[t]:first[t + 1]]) if first[t + 1] > first[t] else np.uint64(0)
-                    begins = np.arange(off[t], off[t + 1], SEGMENT)
-                    mark = mix(np.arange(len(begins), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + text_hash)
-                    for k in np.flatnonzero(mark % np.uint64(SEGMENT_SHARE) == 0):
-                        lo, hi = begins[k], min(begins[k] + SEGMENT, off[t + 1])
-                        before = sym[lo - 1:lo] if k else np.zeros(1, np.int32)
-                        rows.append(np.concatenate([before, sym[lo:hi]]).astype(np.int32).tobytes())
-                        marks.append(int(mark[k] >> np.uint64(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(rows, pa.binary())], names=["mark", "symbols"])
+                    begins = range(int(off[t]), int(off[t + 1]), SEGMENT)
+                    marks.append(mix(np.arange(len(begins), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + keys[i + t]) >> np.uint64(1))
+                    for lo in begins:
+                        hi = min(lo + SEGMENT, int(off[t + 1]))
+                        rows.append(sym[lo - 1:hi].tobytes() if lo > off[t] else b"\0\0" + sym[lo:hi].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(marks).view(np.int64)), pa.array(rows, pa.binary())], names=["mark", "symbols"])
     return run
 
 
+def segments(texts: DataFrame, model: Model) -> DataFrame:
+    """(mark, symbols) of every segment of all texts: 16-bit symbols, the first one input only."""
+    doc_id = F.col("doc_id").cast("long") if "doc_id" in texts.columns else F.lit(None).cast("long")
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    return texts.select(doc_id.alias("doc_id"), "text").mapInArrow(_segments(shared), "mark long, symbols binary")
+
+
+def dealt(segs: DataFrame, workers: int) -> DataFrame:
+    """Segments with the round and the worker that train on them."""
+    return segs.withColumns({"round": F.pmod(F.shiftright("mark", 8), F.lit(ROUNDS)), "worker": F.pmod(F.shiftright("mark", 16), F.lit(workers))})
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     held: list[np.ndarray] = []
     for batch in batches:
         for s in batch.column("symbols"):
-            held.append(np.frombuffer(s.as_py(), np.int32))
+            held.append(np.frombuffer(s.as_py(), np.uint16))
             if len(held) == BATCH:
                 yield held
                 held = []
@@ -173,8 +201,8 @@ def _train(shared, rate: float):
         seen = gru.train(p, lay, _batches(rows()), rate)
         if seen:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(gru.NAMES, pa.string()), pa.array([worker] * len(gru.NAMES), pa.int64()), pa.array([1] * len(gru.NAMES), pa.int64()),
-                 pa.array([p[n].astype(np.float64).tobytes() for n in gru.NAMES], pa.binary())], names=["name", "worker", "n", "weights"])
+                [pa.array(gru.NAMES, pa.string()), pa.array([worker] * len(gru.NAMES), pa.int64()), pa.array([seen] * len(gru.NAMES), pa.int64()),
+                 pa.array([(p[n].astype(np.float64) * seen).tobytes() for n in gru.NAMES], pa.binary())], names=["name", "worker", "n", "weights"])
     return run
 
 
@@ -190,9 +218,10 @@ def _sum(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def learn(texts: DataFrame, workers: int | None = None) -> tuple[Model, DataFrame]:
-    """The model and the counts (word, bucket, n) of a table with column ``text``."""
+    """The model and the counts (word, bucket, n) of a table with column ``text`` and, to tell
+    copies of a text apart, ``doc_id``."""
     spark = texts.sparkSession
-    counts = written(texts.mapInArrow(_count, "word long, bucket int, n long").groupBy("word", "bucket")
+    counts = written(texts.select("text").mapInArrow(_count, "word long, bucket int, n long").groupBy("word", "bucket")
                      .agg(F.sum("n").alias("n")), "counts")
     n_texts = texts.count()
     per_bucket = np.zeros((BUCKETS, 2), np.int64)
@@ -211,12 +240,11 @@ def learn(texts: DataFrame, workers: int | None = None) -> tuple[Model, DataFram
     weights = gru.initial(lay, np.concatenate([[n_texts], n[:k], per_bucket[:, 0]]).astype(np.float64))
     model = Model(Table(key.astype(np.int64).view(np.uint64)), n, symbol, 1 + k, np.log10(per_bucket.sum(axis=1) + 1.0), lay, weights,
                   tokens, distinct, n_texts)
-    picked = written(texts.mapInArrow(_segments(spark.sparkContext.broadcast(model)), "mark long, symbols binary"), "segments")
-    workers = workers or max(WORKERS, picked.count() // WORKER_SEGMENTS)
+    segs = written(segments(texts, model), "segments")
+    workers = workers or max(WORKERS, segs.count() // WORKER_SEGMENTS)
     for r in range(ROUNDS):
         now = spark.sparkContext.broadcast((lay, weights))
-        part = (picked.where(F.pmod(F.shiftright("mark", 8), F.lit(ROUNDS)) == r)
-                .withColumn("worker", F.pmod(F.shiftright("mark", 16), F.lit(workers)))
+        part = (dealt(segs, workers).where(F.col("round") == r).select("mark", "symbols", "worker")
                 .repartitionByRange(workers, "worker").sortWithinPartitions("worker", "mark"))
         sums = part.mapInArrow(_train(now, RATES[r]), WEIGHTS)
         groups = workers
@@ -286,7 +314,7 @@ def language_scores(docs: DataFrame, workers: int | None = None) -> DataFrame:
     training texts all words are unseen.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model, counts = learn(rows.where(fold(F.col("doc_id"), 7) != 2).select("text"), workers)
+    model, counts = learn(rows.where(fold(F.col("doc_id"), 7) != 2), workers)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = written(rows.mapInArrow(_score(shared), "row long, doc_id long, n_tokens long, known long, base_log double, score double, rare array<long>"), "scored")
     extra = (scored.select("row", F.explode("rare").alias("word")).join(counts.select("word", "n"), "word")
