@@ -4,7 +4,7 @@ Stages, in order: toxic documents go; of each group of near-duplicates one
 document stays; secrets are replaced by a mark; sources are mixed to their target
 weights, a document once per draw; documents are packed into batches of like
 length.  Every stage works on all that its predecessor kept and returns the columns
-of ``documents``; the last adds each row's place.  Between stages the rows are
+of ``documents``; the last adds each row's place, with an underscore behind a name that is taken.  Between stages the rows are
 written to the cluster's shared folder and read again.
 """
 
@@ -39,9 +39,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their length bucket, batch and slot."""
-    packed = packing.pack(docs, out="_pack")
-    return packed.select(*docs.columns, *[F.col(f"_pack.{c}").alias(c) for c in ("n_tokens", "bucket", "bound", "batch", "slot", "padding")])
+    """Documents with their length bucket, batch and slot, under names that ``docs`` does not hold."""
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        return name
+
+    out = free("_pack")
+    packed = packing.pack(docs, out=out)
+    return packed.select(*[F.col(f"`{c}`") for c in docs.columns],
+                         *[F.col(out)[c].alias(free(c)) for c in ("n_tokens", "bucket", "bound", "batch", "slot", "padding")])
 
 
 STAGES = [

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from llm_helpers import SF001
 from test_toxicity import corpus
@@ -50,3 +52,15 @@ def test_first_stage_on_ids_without_labels(spark, make_docs, tmp_path):
     kept = {r.doc_id - 10**6 for r in stage(spark, new, str(tmp_path)).collect()}
     clean = {i for i, _, toxic in labels if not toxic}
     assert len(kept & clean) >= 0.95 * len(clean) and len(kept - clean) <= 0.05 * (len(rows) - len(clean))
+
+
+def test_last_stage_beside_columns_of_its_names(spark, make_docs, edge_rows, tmp_path):
+    names = ("n_tokens", "bucket", "bound", "Batch", "batch_", "slot", "padding", "_pack")
+    docs = make_docs(edge_rows).withColumns({c: F.lit("x") for c in names})
+    out = dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF001)
+    out.write.parquet(f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.columns[:len(docs.columns)] == docs.columns
+    assert back.columns[len(docs.columns):] == ["n_tokens_", "bucket_", "bound_", "batch__", "slot_", "padding_"]
+    rows = back.collect()
+    assert len(rows) == len(edge_rows) and all(r[c] == "x" for r in rows for c in names) and all(r.n_tokens_ >= 1 for r in rows)
