@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from data_dirs import SF001
 from tidewatch.operators import editor_running, editor_spans
 from tidewatch.plans.registry import _edits
 
@@ -106,7 +106,7 @@ def test_hot_editor_not_windowed_alone(spark):
 def test_session_window_plan_agrees(spark):
     from tidewatch.plans.registry import _edits
 
-    from conftest import SF01
+    from data_dirs import SF01
 
     e = _edits(spark, SF01)
     a = editor_spans(e)

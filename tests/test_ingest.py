@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.sources.changes import read_table
 from tidewatch.sources import change_events, parse_changes, with_event_time
 
-from conftest import SF001
+from data_dirs import SF001
 
 
 def _parse(spark, lines):

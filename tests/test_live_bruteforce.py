@@ -12,7 +12,7 @@ import pandas as pd
 from tidewatch.plans.registry import _edits
 from tidewatch.streaming import registry
 
-from conftest import SF001
+from data_dirs import SF001
 
 HOUR_MS = 3_600_000
 DELAY_MS = 600_000

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as ent
 from oracle_check import compare, duck
 
-from conftest import SF001
+from data_dirs import SF001
 from tidewatch.plans.oracle import ORACLE_SQL
 
 BATCH = [k for k in ORACLE_SQL if not k.endswith("_stream")]

@@ -5,7 +5,7 @@ import time
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from data_dirs import SF001
 from test_streams import STREAM_A, write_batches
 from tidewatch.sources import change_events, from_json_files
 from tidewatch.streaming import registry

@@ -75,7 +75,7 @@ def test_table_stats(spark, scratch):
 def test_top_trending_from_events_equals_full_table(spark):
     from pyspark.sql import functions as F
 
-    from conftest import SF01
+    from data_dirs import SF01
     from tidewatch.operators import trending
     from tidewatch.plans import top_trending_from_events
     from tidewatch.plans.registry import _edits
@@ -91,7 +91,7 @@ def test_top_trending_from_events_equals_full_table(spark):
 
 
 def test_hourly_heatmap_from_events_equals_expanded(spark):
-    from conftest import SF01
+    from data_dirs import SF01
     from tidewatch.config import DEFAULTS
     from tidewatch.operators import trending
     from tidewatch.plans import hourly_heatmap_from_events

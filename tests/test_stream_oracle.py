@@ -7,7 +7,7 @@ import __spark_entry__ as ent
 from oracle_check import duck, value_hash
 from tidewatch.streaming import registry
 
-from conftest import SF001
+from data_dirs import SF001
 
 
 @pytest.mark.parametrize("key", ["trending_stream", "editors_stream", "spikes_stream"])
