@@ -2,6 +2,9 @@ import hashlib
 import math
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from llm_helpers import ascii_lower
 from tidewatch.llm import imatch
@@ -101,3 +104,21 @@ def test_edited_texts_are_nearer_than_next_ones(spark):
     from tidewatch.llm import queries
     r = queries.op3_imatch(spark, "/root/testdata/sf0.01").selectExpr("avg(near_edited) AS e", "avg(near_next) AS n").first()
     assert r.e > 0.4 and r.n < 0.1
+
+
+def test_hashes_are_evaluated_once_a_row(spark):
+    """The tree that filters and hashes the terms is not below the transform over the 80 elements."""
+    found = spark.range(3).select(F.array(F.struct(F.col("id").cast("string").alias("term"), F.lit(1).alias("subset"),
+                                                   F.lit(0).alias("rate"))).alias("found"))
+    plan = found.select(imatch.by_rate(imatch.parts()).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert re.search(r"element_at\(transform\(array\(transform\(flatten", plan)
+    assert not re.search(r"lambdafunction\(element_at\((transform|flatten)", plan)
+
+
+def test_a_very_long_text_takes_seconds(spark, make_docs):
+    words = [" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(2)]
+    rows = [(i, words[i] if i < 2 else f"w{i % 2}x{i} other", "en", "s") for i in range(300)]
+    t0 = time.time()
+    got = imatch.fingerprints(make_docs(rows)).collect()
+    assert len(got) == 300 and time.time() - t0 < 60

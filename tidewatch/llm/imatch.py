@@ -58,10 +58,15 @@ def parts(found: str = "found") -> Column:
     return hashed
 
 
-def by_rate(hashed: str) -> Column:
-    """``parts`` in the order of the fingerprint: rate by rate."""
-    return F.transform(F.sequence(F.lit(0), F.lit(RATES * SUBSETS - 1)),
-                       lambda j: F.element_at(hashed, (F.pmod(j, F.lit(SUBSETS)) * RATES + F.floor(j / SUBSETS) + 1).cast("int")))
+def by_rate(hashed: Column) -> Column:
+    """``parts`` in the order of the fingerprint: rate by rate.
+
+    The array is bound to a lambda variable, so it is evaluated once a row; named twice
+    as a column, merged projections would evaluate it for every one of its elements.
+    """
+    return F.element_at(F.transform(F.array(hashed), lambda h: F.transform(
+        F.sequence(F.lit(0), F.lit(RATES * SUBSETS - 1)),
+        lambda j: F.element_at(h, (F.pmod(j, F.lit(SUBSETS)) * RATES + F.floor(j / SUBSETS) + 1).cast("int")))), 1)
 
 
 def matches(a: str, b: str) -> Column:
@@ -128,20 +133,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                           F.col("b").alias("to_b"), cut.alias("ask"))
     placed = order.select("a", "b", "n_chars", cut.alias("cut")).join(before, ["a", "b"])
     placed = written(placed, "placed")
-    whole = base.select("a", "b", "text").join(placed, ["a", "b"])
+    # repeated rows count in the lexicon and come back at the end; between, each text is worked on once
+    whole = base.select("a", "b", "text").dropDuplicates(["a", "b"]).join(placed, ["a", "b"])
     patch = whole.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"), F.expr("left(text, ask)").alias("patch"))
-    edited = whole.join(patch.dropDuplicates(["a", "b"]), ["a", "b"]).select(
+    edited = whole.join(patch, ["a", "b"]).select(
         "a", "b", "n_chars", "text", F.expr("concat(left(text, CAST(n_chars AS INT) - cut), patch)").alias("edited"))
     both = edited.select("a", "b", F.inline(F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")),
                                                     F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))))
     # rows of one text stay in the task that read it: no shuffle of terms
     found = (both.select("a", "b", "v", F.explode(terms(F.col("t"))).alias("term")).join(words, "term")
              .groupBy("a", "b", "v").agg(F.sort_array(F.collect_set(F.struct("term", "subset", "rate"))).alias("found")))
-    hashed = found.select("a", "b", "v", parts().alias("hashed"))
-    prints = hashed.select("a", "b", "v", by_rate("hashed").alias("p")).groupBy("a", "b").agg(
+    prints = found.select("a", "b", "v", by_rate(parts()).alias("p")).groupBy("a", "b").agg(
         F.max(F.when(F.col("v") == 0, F.col("p"))).alias("p0"), F.max(F.when(F.col("v") == 1, F.col("p"))).alias("p1"))
     shas = edited.select("a", "b", F.md5("text").alias("m0"), F.md5("edited").alias("m1"),
-                         F.sha2("edited", 256).alias("edited_sha256")).dropDuplicates(["a", "b"])
+                         F.sha2("edited", 256).alias("edited_sha256"))
     whole_print = lambda p, m: F.coalesce(F.array_join(p, ""), F.concat(F.lit("="), F.col(m)))
     done = written(shas.join(prints, ["a", "b"], "left").select(
         "a", "b", "edited_sha256", "p0", whole_print("p0", "m0").alias("fingerprint"), whole_print("p1", "m1").alias("edited_fingerprint"),
