@@ -89,3 +89,30 @@ def test_reader_meets_chunk_borders_and_damage(archive, monkeypatch):
     with pytest.raises((ValueError, zstd.ZstdError)):
         list(warc.read_archive(io.BytesIO(data[:-5])))
     assert list(warc.read_archive(io.BytesIO(b""))) == []
+
+
+def test_every_archive_leads_with_a_dictionary():
+    for recs in ([warc.record(1, "u", b"x" * 300, "response", None)], [warc.record(i, "u", b"y" * 40, "response", None) for i in range(3)],
+                 [bytes([65 + i % 7]) * (900 << 10) for i in range(3)]):
+        out = Kept()
+        a = warc.Archive(out)
+        for r in recs:
+            a.add(r)
+        a.close()
+        magic, size = struct.unpack("<II", out.getvalue()[:8])
+        assert magic == warc.DICTIONARY_FRAME and 8 <= size <= warc.DICTIONARY_BYTES
+        if recs[0].startswith(b"WARC"):
+            assert len(list(warc.read_archive(io.BytesIO(out.getvalue())))) == len(recs)
+
+
+def test_archives_are_read_by_a_task_each(spark):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+    folder = warc.scratch_path(spark, "warc-tasks")
+    folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    manifest = reduce(lambda a, b: a.unionByName(b), [
+        warc.write_archives(pages(spark, [(k, f"http://x/{k}", f"page {k} " * 20) for k in range(20 * i, 20 * i + 20)]), folder) for i in range(6)])
+    read = warc.read_archives(manifest, folder)
+    tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == manifest.count() == 6 and sum(t["count"] for t in tasks) == 120

@@ -20,7 +20,7 @@ from typing import BinaryIO
 import pyarrow as pa
 import zstandard as zstd
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm._shared import written
@@ -29,6 +29,7 @@ from tidewatch.session import scratch_path
 DICTIONARY_FRAME = 0x184D2A5D  # skippable frame that carries the dictionary
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20         # records held back to build the dictionary from
+SLICE_BYTES = 64 << 10         # pieces of them that it is trained on
 ARCHIVE_BYTES = 1 << 30        # uncompressed bytes after which a task starts another archive
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
@@ -63,12 +64,20 @@ def record(page_id: int | None, url: str | None, payload: bytes, kind: str, refe
     return b"".join(head) + b"\r\n" + block + b"\r\n\r\n"
 
 
-def dictionary(samples: list[bytes]) -> zstd.ZstdCompressionDict | None:
-    """A trained dictionary, or none where the records are too few to train on."""
+def dictionary(records: list[bytes]) -> zstd.ZstdCompressionDict | None:
+    """A dictionary trained on slices of the records.  Where these are too few or too plain to
+    train on, the beginnings of the records, a quarter of their bytes at most, are the
+    dictionary; none without records."""
+    samples = [r[i:i + SLICE_BYTES] for r in records for i in range(0, len(r), SLICE_BYTES)]
     try:
-        return zstd.train_dictionary(DICTIONARY_BYTES, samples) if len(samples) >= 8 else None
-    except zstd.ZstdError:
-        return None
+        if len(samples) >= 8:
+            return zstd.train_dictionary(DICTIONARY_BYTES, samples)
+    except zstd.ZstdError:  # not enough to learn from
+        pass
+    share = min(DICTIONARY_BYTES, sum(map(len, records)) // 4)
+    each = max(64, share // max(1, len(records)))
+    raw = b"".join(r[:each] for r in records)[:share]
+    return zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT) if len(raw) >= 8 else None
 
 
 class Archive:
@@ -227,7 +236,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all
     records, the payload of every response held against its digest."""
-    return manifest.select("name").repartition("name").mapInArrow(
+    archives = max(1, manifest.count())
+    one_each = manifest.select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("task"))  # a row per archive
+    return one_each.repartitionById(archives, "task").select("name").mapInArrow(
         _read(folder), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
