@@ -15,9 +15,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -185,24 +185,26 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
+def _by_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of the batches with the worker that trains on them."""
+    for batch in batches:
+        worker = batch.column("worker").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(worker)) + 1), len(worker)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi > lo:
+                yield int(worker[lo]), batch.slice(lo, hi - lo)
+
+
 def _train(shared, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lay, weights = shared.value
-        p = {n: v.copy() for n, v in weights.items()}
-        worker, seen = None, 0
-
-        def rows():
-            nonlocal worker
-            for batch in batches:
-                if batch.num_rows and worker is None:
-                    worker = batch.column("worker")[0].as_py()
-                yield batch
-
-        seen = gru.train(p, lay, _batches(rows()), rate)
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gru.NAMES, pa.string()), pa.array([worker] * len(gru.NAMES), pa.int64()), pa.array([seen] * len(gru.NAMES), pa.int64()),
-                 pa.array([(p[n].astype(np.float64) * seen).tobytes() for n in gru.NAMES], pa.binary())], names=["name", "worker", "n", "weights"])
+        for worker, own in groupby(_by_worker(batches), key=lambda x: x[0]):
+            p = {n: v.copy() for n, v in weights.items()}
+            seen = gru.train(p, lay, _batches(b for _, b in own), rate)
+            if seen:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gru.NAMES, pa.string()), pa.array([worker] * len(gru.NAMES), pa.int64()), pa.array([seen] * len(gru.NAMES), pa.int64()),
+                     pa.array([(p[n].astype(np.float64) * seen).tobytes() for n in gru.NAMES], pa.binary())], names=["name", "worker", "n", "weights"])
     return run
 
 
@@ -244,8 +246,8 @@ def learn(texts: DataFrame, workers: int | None = None) -> tuple[Model, DataFram
     workers = workers or max(WORKERS, segs.count() // WORKER_SEGMENTS)
     for r in range(ROUNDS):
         now = spark.sparkContext.broadcast((lay, weights))
-        part = (dealt(segs, workers).where(F.col("round") == r).select("mark", "symbols", "worker")
-                .repartitionByRange(workers, "worker").sortWithinPartitions("worker", "mark"))
+        part = (dealt(segs, workers).where(F.col("round") == r).select("mark", "symbols", F.col("worker").cast("int"))
+                .repartitionById(workers, "worker").sortWithinPartitions("worker", "mark"))
         sums = part.mapInArrow(_train(now, RATES[r]), WEIGHTS)
         groups = workers
         while groups > 1:
@@ -260,13 +262,16 @@ def learn(texts: DataFrame, workers: int | None = None) -> tuple[Model, DataFram
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        row = TaskContext.get().partitionId() << 40  # rows are numbered by task and place
         for big in batches:
             for lo in range(0, big.num_rows, SCORE_DOCS):
-                yield _score_batch(model, big.slice(lo, SCORE_DOCS))
+                part = big.slice(lo, SCORE_DOCS)
+                yield _score_batch(model, part, row)
+                row += part.num_rows
     return run
 
 
-def _score_batch(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
+def _score_batch(model: Model, batch: pa.RecordBatch, row: int = 0) -> pa.RecordBatch:
     n = batch.num_rows
     parts, offs, at = [], [np.zeros(1, np.int64)], 0
     n_tokens, known = np.ones(n, np.int64), np.full(n, int(model.texts > 0))
@@ -291,7 +296,7 @@ def _score_batch(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
         rare.extend(np.split(h[~found].view(np.int64), np.cumsum(np.bincount(text[~found], minlength=m))[:-1]))
     symbols = np.concatenate(parts) if parts else np.zeros(0, np.int32)
     own = gru.score(model.weights, model.lay, symbols, np.concatenate(offs)) / np.log(10)
-    rows = int.from_bytes(os.urandom(7), "big") + np.arange(n, dtype=np.int64)
+    rows = row + np.arange(n, dtype=np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(rows), batch.column(0), pa.array(n_tokens), pa.array(known), pa.array(base_log), pa.array(own + inside),
          pa.array(rare, pa.list_(pa.int64()))],
