@@ -25,7 +25,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path  # for ``dropped``
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the folder of a table that ``written`` gave, once a later step is written whole."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(col: str = "text") -> Column:

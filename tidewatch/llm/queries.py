@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
+from tidewatch.llm import centroids, hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
 from tidewatch.llm._shared import table
 
 
@@ -81,6 +81,11 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds of exact centroid clustering."""
+    return centroids.with_inertia(*centroids.clusters(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_gru": op2_gru,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_secrets": op9_secrets,
     "op10_hamming": op10_hamming,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLES: dict[str, str] = {
