@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import centroids, hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
+from tidewatch.llm import centroids, chat, hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
 from tidewatch.llm._shared import table
 
 
@@ -81,6 +81,17 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation through its event log to a rendered text, read back from there."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
+    back = chat.read_back(chat.chats(turns))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after ten rounds of exact centroid clustering."""
     return centroids.with_inertia(*centroids.clusters(table(spark, sf_dir, "embeddings")))
@@ -97,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_secrets": op9_secrets,
     "op10_hamming": op10_hamming,
+    "op12_chat": op12_chat,
     "op13_centroids": op13_centroids,
 }
 
@@ -175,6 +187,20 @@ ORACLES: dict[str, str] = {
                neighbor_id, distance
         FROM d QUALIFY rank <= 10
     """,
+    "op12_chat": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(0, 2) r(i)),
+        p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM t),
+        n AS (
+          SELECT *, length(role || text) + length(regexp_replace(role || chr(10) || text, '[^\\]', '', 'g'))
+                 + len(regexp_extract_all(role || chr(10) || text, '\[/?INST\]|</s>')) AS chars FROM p)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars + 17)::BIGINT AS formatted_chars
+        FROM n GROUP BY conv_id
+    """,
     "op8_minhash": r"""
         WITH RECURSIVE toks AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
