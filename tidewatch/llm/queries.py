@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import centroids, chat, hamming, imatch, langid, language_model, minhash, mixing, packing, secrets, toxicity, warc
+from tidewatch.llm import centroids, chat, hamming, imatch, langid, language_model, minhash, mixing, packing, prefix_trie, secrets, toxicity, warc
 from tidewatch.llm._shared import table
 
 
@@ -81,6 +81,11 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation through its event log to a rendered text, read back from there."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_secrets": op9_secrets,
     "op10_hamming": op10_hamming,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_chat": op12_chat,
     "op13_centroids": op13_centroids,
 }
@@ -187,6 +193,40 @@ ORACLES: dict[str, str] = {
                neighbor_id, distance
         FROM d QUALIFY rank <= 10
     """,
+    "op11_prefix_trie": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        p AS (
+          SELECT conv_id, sha256(length(role) || ':' || role || text) AS h,
+                 len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS p FROM t),
+        c AS (
+          SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, list_reduce(
+            [4294967295::UBIGINT] || [ord(ch)::UBIGINT FOR ch IN string_split(conv_id::VARCHAR, '')],
+            lambda acc, byte: list_reduce([xor(acc, byte)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+              lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)) AS crc FROM p),
+        g AS (SELECT conv_id, base, (xor(crc, 4294967295::UBIGINT) % 4)::BIGINT AS n FROM c),
+        s AS (
+          SELECT g.conv_id, 0 AS own, b.p, b.h, b.words FROM g JOIN p b ON b.conv_id = g.base AND b.p <= g.n
+          UNION ALL SELECT g.conv_id, 1, o.p, o.h, o.words FROM g JOIN p o ON o.conv_id = g.conv_id AND o.p > g.n),
+        q AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS d, h, words FROM s),
+        k AS (
+          SELECT conv_id, d, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY d) AS k, words FROM q
+          UNION ALL SELECT conv_id, 0, '', 0 FROM g),
+        l AS (SELECT *, lag(k) OVER w AS parent, d = max(d) OVER (PARTITION BY conv_id) AS last FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+        n AS (
+          SELECT d, k, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+          FROM l GROUP BY d, k),
+        ch AS (SELECT d - 1 AS d, parent AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+        v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (d, k)),
+        sums AS (
+          SELECT a.d, a.k, sum((v.n_children = 0)::INT)::BIGINT AS n_leaves, sum((v.n_convs - 1) * v.words)::BIGINT AS saved_tokens
+          FROM v JOIN k a ON a.conv_id = v.conv_id AND a.d <= v.d GROUP BY a.d, a.k)
+        SELECT v.conv_id, v.d::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children::BIGINT AS n_children, n_leaves, saved_tokens,
+               v.ends_sha256
+        FROM v JOIN sums USING (d, k) LEFT JOIN n u ON u.d = v.d - 1 AND u.k = v.parent
+    """,
     "op12_chat": r"""
         WITH t AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
