@@ -7,8 +7,11 @@ from oracle_check import compare, duck
 
 from data_dirs import SF001
 from tidewatch.plans.oracle import ORACLE_SQL
+from tidewatch.streaming.registry import STREAM_QUERIES
 
-BATCH = [k for k in ORACLE_SQL if not k.endswith("_stream")]
+# the other stream keys are held against each other on small feeds (test_stream_features)
+DRAINED = ["as_of_snapshot", "editors_live", "spikes_live", "trending_late", "late_rows", "editors_restart", "spikes_expiring"]
+BATCH = [k for k in ORACLE_SQL if k not in STREAM_QUERIES or k in DRAINED]
 
 
 @pytest.fixture(scope="module")

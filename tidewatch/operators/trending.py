@@ -10,6 +10,12 @@ Two plans with equal results:
   the 20x fan-out happens after the data has been reduced to one row per
   non-empty bucket.  Costs a second (much smaller) shuffle.
 
+* ``chained`` (streams): two windowed aggregates in a row, per slide and then per
+  window.  State holds a row per slide for the watermark's length and the open windows
+  of emitted slides, and an edit is expanded after it was counted.  An edit that comes
+  when its slide is closed is late as a whole; ``direct`` still counts it in those of
+  its windows that are open.
+
 A hot title cannot pin one task in either plan: the final grouping key
 includes the window, so a title's rows spread over all of its windows, and
 both plans combine map-side before any shuffle.
@@ -28,6 +34,8 @@ def trending(events: DataFrame, params: Params = DEFAULTS, method: str | None =
              time_col: str = "event_time") -> DataFrame:
     """trending_articles rows: window_start, window_end, article_title, server_name, edit_count."""
     method = method or ("direct" if events.isStreaming else "prebucketed")
+    if method == "chained":
+        return _chained(events, params, time_col)
     if method == "prebucketed" and events.isStreaming:
         raise ValueError("a stream counts its windows directly")
     if method == "direct":
@@ -47,6 +55,16 @@ def trending(events: DataFrame, params: Params = DEFAULTS, method: str | None =
     return _prebucketed(events, params, time_col)
 
 
+def _chained(events: DataFrame, params: Params, time_col: str) -> DataFrame:
+    if duration_us(params.trending_window) % duration_us(params.trending_slide):
+        raise ValueError("windows must consist of whole slides")
+    per_slide = events.groupBy(F.window(time_col, params.trending_slide).alias("slide"), "title", "server_name").agg(
+        F.count(F.lit(1)).alias("n"))
+    summed = per_slide.groupBy(F.window(F.window_time("slide"), params.trending_window, params.trending_slide).alias("window"),
+                               "title", "server_name").agg(F.sum("n").alias("edit_count"))
+    return summed.select(*window_bounds("window"), F.col("title").alias("article_title"), "server_name", "edit_count")
+
+
 def _prebucketed(events: DataFrame, params: Params, time_col: str) -> DataFrame:
     dur = duration_us(params.trending_window)
     slide = duration_us(params.trending_slide)

@@ -165,3 +165,77 @@ SELECT title AS article_title, make_timestamp(ws) AS window_start, make_timestam
        k > 0 AND n > coalesce(a, 0.0) * 5.0 AS is_spike
 FROM h""",
 })
+
+ORACLE_SQL.update({k: ORACLE_SQL["trending_stream"] for k in ("trending_chained", "trending_dedup")})
+ORACLE_SQL["editors_sessions"] = ORACLE_SQL["editors_stream"]
+
+# The feed out of order: micro-batch i judges rows by the newest edit of the batches before i - 1, less ten minutes.
+_ARRIVALS = """,
+ar AS (SELECT id, epoch_us(event_time) // 86400000000 + CASE WHEN id % 20 = 0 THEN 1 + (id // 20) % 3 ELSE 0 END AS b FROM ch),
+bi AS (SELECT b, row_number() OVER (ORDER BY b) - 1 AS i FROM (SELECT DISTINCT b FROM ar)),
+ea AS (SELECT e.*, epoch_us(e.event_time) AS t, bi.i FROM e JOIN ar USING (id) JOIN bi USING (b)),
+nw AS (SELECT i, max(t) AS m FROM ea GROUP BY i),
+wm AS (SELECT bi.i, (SELECT max(m) FROM nw WHERE nw.i <= bi.i - 2) - 600000000 AS w FROM bi)
+"""
+
+# Batch i of the replay in order closes windows up to the newest edit of the batches before it, less ten minutes;
+# two flush batches a day past the newest change and one without data follow.
+_CLOSING = """,
+di AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i FROM (SELECT DISTINCT epoch_us(event_time) // 86400000000 AS d FROM ch)),
+dn AS (SELECT di.i, max(epoch_us(e.event_time)) AS m FROM e JOIN di ON di.d = epoch_us(e.event_time) // 86400000000 GROUP BY di.i),
+far AS (SELECT (SELECT count(*) FROM di) AS n, (SELECT max("timestamp") FROM ch) * 1000000 AS newest),
+bw AS (
+  SELECT di.i, (SELECT max(m) FROM dn WHERE dn.i < di.i) - 600000000 AS w FROM di
+  UNION ALL SELECT n, (SELECT max(m) FROM dn) - 600000000 FROM far
+  UNION ALL SELECT n + 1, newest + 86400000000 - 600000000 FROM far
+  UNION ALL SELECT n + 2, newest + 86401000000 - 600000000 FROM far)
+"""
+
+ORACLE_SQL.update({
+    "late_rows": _BASE_WIRE + _ARRIVALS
+    + 'SELECT id, title, "user", event_time, ea.i AS batch_id FROM ea JOIN wm USING (i) WHERE t <= w',
+    "trending_late": _BASE_WIRE + _ARRIVALS + """,
+tx AS (SELECT title, server_name, t // 30000000 * 30000000 - k * 30000000 AS ws, w FROM ea JOIN wm USING (i) CROSS JOIN range(0, 20) r(k))
+SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + 600000000) AS window_end, title AS article_title, server_name,
+       count(*) AS edit_count
+FROM tx WHERE w IS NULL OR ws + 600000000 > w GROUP BY ws, title, server_name""",
+    "editors_restart": _BASE_WIRE + _SPANS + """
+SELECT "user", span_start, total_edits, last_activity FROM spans
+WHERE epoch_us(last_activity) + 3600000000 > (SELECT epoch_us(max(event_time)) FROM e) - 600000000""",
+    "spikes_expiring": _BASE_WIRE + _CLOSING + """,
+mc AS (SELECT title, (epoch_us(event_time) // 21600000000) * 21600000000 AS ws, count(*) AS n FROM e GROUP BY 1, 2),
+cl AS (SELECT *, (SELECT min(i) FROM bw WHERE w >= ws + 21600000000) AS b FROM mc),
+gr AS (SELECT title, b, max(ws) + 21600000000 + 43200000000 AS ends FROM cl GROUP BY title, b),
+fi AS (SELECT *, (SELECT min(i) FROM bw WHERE i >= b AND w >= ends) AS fires, lead(b) OVER (PARTITION BY title ORDER BY b) AS nb FROM gr),
+ex AS (SELECT *, fires IS NOT NULL AND (nb IS NULL OR fires < nb) AS expires FROM fi),
+ch2 AS (SELECT *, coalesce(sum(expires::INT) OVER (PARTITION BY title ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life FROM ex),
+h AS (SELECT cl.*, avg(n) OVER p AS a, count(n) OVER p AS k FROM cl JOIN ch2 USING (title, b)
+      WINDOW p AS (PARTITION BY title, life ORDER BY ws ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
+SELECT title AS article_title, make_timestamp(ws) AS window_start, make_timestamp(ws + 21600000000) AS window_end, n AS current_edit_count,
+       coalesce(a, 0.0) AS historical_average, CASE WHEN coalesce(a, 0.0) = 0.0 THEN 0.0 ELSE n / a END AS spike_multiplier,
+       k > 0 AND n > coalesce(a, 0.0) * 2.0 AS is_spike
+FROM h
+UNION ALL
+SELECT title, make_timestamp(0), make_timestamp(0), 0, 0.0, 0.0, FALSE FROM ex WHERE expires""",
+    "top_trending_table": _BASE_WIRE + _TRENDING + """
+SELECT article_title, server_name, CAST(sum(edit_count) AS BIGINT) AS total_edits
+FROM trending WHERE window_start >= (SELECT max(window_start) FROM trending) - INTERVAL 1 DAY
+GROUP BY article_title, server_name
+ORDER BY total_edits DESC, article_title, server_name
+LIMIT 20""",
+    "heatmap_table": _BASE_WIRE + _TRENDING + """
+SELECT date_trunc('hour', window_start) AS hour_bucket, server_name, CAST(sum(edit_count) AS BIGINT) AS total_edits
+FROM trending GROUP BY 1, 2""",
+    "active_board_table": _BASE_WIRE + _SPANS + """,
+latest AS (SELECT * FROM spans QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY span_start DESC) = 1)
+SELECT "user", total_edits, last_activity FROM latest
+WHERE epoch_us(last_activity) + 3600000000 > (SELECT epoch_us(max(event_time)) FROM e) - 600000000
+ORDER BY total_edits DESC, "user", last_activity DESC
+LIMIT 20""",
+    "spike_board_table": _BASE_WIRE + _spikes(21_600_000_000, 2.0) + """
+SELECT article_title, window_start, window_end, current_edit_count, historical_average,
+       CAST(round(CAST(spike_multiplier AS DECIMAL(38, 12)), 2) AS DOUBLE) AS spike_ratio
+FROM sp WHERE is_spike
+ORDER BY window_start DESC, article_title
+LIMIT 20""",
+})

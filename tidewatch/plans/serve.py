@@ -38,6 +38,8 @@ def top_trending(trending: DataFrame, as_of=None, lookback: str = "1 hour", limi
     windows aligned to the window length, which tile time, so each edit counts once.
     """
     df = trending.where(F.col("window_start") >= _cutoff(as_of, lookback))  # P12, on the bare column: pushed down
+    if "date" in trending.columns:  # a table partitioned by the date of its windows
+        df = df.where(F.col("date") >= F.to_date(_cutoff(as_of, lookback)))
     if mode == "distinct_edits":
         df = df.where(F.unix_micros("window_start") % F.lit(duration_us(window)) == 0)
     elif mode != "window_sum":
@@ -91,8 +93,13 @@ def spike_board(spikes: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
-def hourly_heatmap(trending: DataFrame) -> DataFrame:
-    """Q4: summed window counts per hour of window start and server (O3 order)."""
+def hourly_heatmap(trending: DataFrame, since=None) -> DataFrame:
+    """Q4: summed window counts per hour of window start and server (O3 order), of windows
+    starting at ``since`` or later where it is given."""
+    if since is not None:
+        trending = trending.where(F.col("window_start") >= _as_of_col(since))
+        if "date" in trending.columns:
+            trending = trending.where(F.col("date") >= F.to_date(_as_of_col(since)))
     hour = F.date_trunc("hour", F.col("window_start"))
     return (trending.groupBy(hour.alias("hour_bucket"), F.col("server_name"))
             .agg(F.sum("edit_count").alias("total_edits"))

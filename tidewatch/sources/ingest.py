@@ -54,6 +54,13 @@ def watermarked(df: DataFrame, params: Params = DEFAULTS, column: str = "event_t
     return df.withWatermark(column, params.watermark_delay)
 
 
+def deduplicated(df: DataFrame, key: str = "id") -> DataFrame:
+    """Events delivered more than once, within the watermark's delay of each other, come once.
+
+    Keys are kept until the watermark passes them, so state is bounded by the delay."""
+    return df.dropDuplicatesWithinWatermark([key])
+
+
 def kafka_reader_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
                          fail_on_data_loss: bool = False, **extra: str) -> dict[str, str]:
     """S1 option set; ``extra`` passes ``kafka.*`` client settings through."""

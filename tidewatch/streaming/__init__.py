@@ -1,11 +1,13 @@
 from tidewatch.streaming.app import await_all, await_any, checkpoint_paths, start_all, stop_all, table_paths
 from tidewatch.streaming.jobs import (
-    editors_frame, spikes_frame, start_editors, start_spikes, start_trending, trending_frame,
+    editors_frame, sessions_frame, spikes_frame, start_editors, start_sessions, start_spikes, start_trending, trending_frame,
 )
+from tidewatch.streaming.late import late_rows_writer, start_late
 from tidewatch.streaming.sinks import append_stream, idempotent_batch_writer, update_stream
 
 __all__ = [
     "await_all", "await_any", "checkpoint_paths", "start_all", "stop_all", "table_paths",
-    "editors_frame", "spikes_frame", "start_editors", "start_spikes", "start_trending", "trending_frame",
+    "editors_frame", "sessions_frame", "spikes_frame", "start_editors", "start_sessions", "start_spikes", "start_trending",
+    "trending_frame", "late_rows_writer", "start_late",
     "append_stream", "idempotent_batch_writer", "update_stream",
 ]

@@ -21,16 +21,17 @@ def checkpoint_paths(root: str) -> dict[str, str]:
     return {q: f"{root}/checkpoints/{q}" for q in QUERY_NAMES}
 
 
-def start_all(events_wm: DataFrame, root: str, params: Params = DEFAULTS, trigger: dict | None = None,
+def start_all(events: DataFrame, root: str, params: Params = DEFAULTS, trigger: dict | None = None,
               fmt: str = "parquet", spike_mode: str = "final", strict_gap: bool = False, spike_expiry="processing_time",
               spike_ttl: str | None = None):
+    """Each job sets the watermark itself; a stream without one lets the editor job combine before its shuffle."""
     tables, ckpts = table_paths(root), checkpoint_paths(root)
     q_trend, q_edit, q_spike = QUERY_NAMES
     return [
-        start_trending(events_wm, tables["trending_articles"], ckpts[q_trend], params, trigger, fmt, q_trend),
-        start_editors(events_wm, tables["active_editors"], ckpts[q_edit], params, trigger, fmt, q_edit,
+        start_trending(events, tables["trending_articles"], ckpts[q_trend], params, trigger, fmt, q_trend),
+        start_editors(events, tables["active_editors"], ckpts[q_edit], params, trigger, fmt, q_edit,
                       strict_gap=strict_gap),
-        start_spikes(events_wm, tables["edit_spikes"], ckpts[q_spike], params, trigger, fmt, q_spike,
+        start_spikes(events, tables["edit_spikes"], ckpts[q_spike], params, trigger, fmt, q_spike,
                      mode=spike_mode, expiry=spike_expiry, ttl=spike_ttl),
     ]
 

@@ -13,18 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import DEFAULTS, Params, duration_us
+from tidewatch.operators.partials import has_watermark, partial_counts
 from tidewatch.operators.spikes import minute_counts
-from tidewatch.session import require_rocksdb
 from tidewatch.operators.trending import trending
+from tidewatch.session import require_rocksdb
+from tidewatch.sources.ingest import watermarked
 from tidewatch.streaming.processors import EDITOR_OUT, SPIKE_OUT, EditorProcessor, SpikeProcessor
 from tidewatch.streaming.sinks import append_stream, apply_trigger, idempotent_batch_writer, update_stream
 
 CHAINED_CHECK = "spark.sql.streaming.statefulOperator.checkCorrectness.enabled"
+LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
+def with_watermark(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The stream under its watermark; one that carries a watermark already stays as it is."""
+    return events if has_watermark(events) else watermarked(events, params)
 
-def trending_frame(events_wm: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Sliding-window counts, emitted once a window is final."""
-    return trending(events_wm, params)
+
+def trending_frame(events: DataFrame, params: Params = DEFAULTS, method: str | None = None) -> DataFrame:
+    """Sliding-window counts, emitted once a window is final.
+
+    ``method='chained'`` counts per slide first and sums those counts per window."""
+    return trending(with_watermark(events, params), params, method)
 
 
 def _grouped_state(grouped, processor, schema: str, output_mode: str, time_mode: str, api: str):
@@ -35,22 +45,39 @@ def _grouped_state(grouped, processor, schema: str, output_mode: str, time_mode:
     raise ValueError(f"unknown api {api!r}")
 
 
-def editors_frame(events_wm: DataFrame, params: Params = DEFAULTS, strict_gap: bool = False,
+def editors_frame(events: DataFrame, params: Params = DEFAULTS, strict_gap: bool = False,
                   api: str = "rows") -> DataFrame:
     """Per-editor running totals, expired in event time.
 
-    Only (user, id, event_time) reach the keyed state (column pruning before
-    the shuffle by user); the event time column keeps its watermark so late
-    rows are filtered before the processor.
+    Each task combines its edits to counts per (user, event time) before the shuffle by
+    user and before the watermark is set, so an editor with a third of all edits
+    sends at most one row per task and second to the task that keeps its state.  A
+    stream that carries its watermark already (after de-duplication) cannot be
+    combined any more and sends (user, event_time) of every edit.
     """
-    inp = events_wm.select("user", "id", "event_time", F.unix_millis("event_time").alias("event_ms"))
+    if has_watermark(events):
+        counts = events.select("user", "event_time", F.lit(1).cast("long").alias("edits"))
+    else:
+        counts = watermarked(partial_counts(events, "user"), params)
+    inp = counts.select("user", "event_time", F.unix_millis("event_time").alias("event_ms"), "edits")
     proc = EditorProcessor(duration_us(params.editor_idle) // 1000, strict_gap, frames=(api == "frames"))
     out = _grouped_state(inp.groupBy("user"), proc, EDITOR_OUT, "Update", "EventTime", api)
     return out.select("user", "total_edits", F.timestamp_millis("last_ms").alias("last_activity"),
                       "is_expired", F.timestamp_millis("span_ms").alias("span_start"))
 
 
-def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "final",
+def sessions_frame(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Closed activity spans by Spark's session windows: a JVM-only second form of the editor job.
+
+    A span is emitted once the watermark has passed its last edit by the idle time.
+    With ``LOCAL_SESSIONS`` tasks merge their rows into sessions before the shuffle.
+    """
+    spans = with_watermark(events, params).groupBy("user", F.session_window("event_time", params.editor_idle).alias("s")).agg(
+        F.count(F.lit(1)).alias("total_edits"), F.max("event_time").alias("last_activity"))
+    return spans.select("user", F.col("s.start").alias("span_start"), "total_edits", "last_activity", F.lit(True).alias("is_expired"))
+
+
+def spikes_frame(events: DataFrame, params: Params = DEFAULTS, mode: str = "final",
                  expiry: str = "processing_time", ttl: str | None = None, api: str = "rows") -> DataFrame:
     """Tumbling counts chained into per-title history state.
 
@@ -60,7 +87,7 @@ def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "f
     """
     if mode not in ("final", "live"):
         raise ValueError(f"unknown mode {mode!r}")
-    counts = minute_counts(events_wm, params)
+    counts = minute_counts(with_watermark(events, params), params)
     inp = counts.select("title", F.unix_millis("window_start").alias("start_ms"),
                         F.unix_millis("window_end").alias("end_ms"), "edit_count")
     ttl_ms = duration_us(ttl or params.spike_ttl) // 1000
@@ -73,39 +100,45 @@ def spikes_frame(events_wm: DataFrame, params: Params = DEFAULTS, mode: str = "f
                       "historical_average", "spike_multiplier", "is_spike")
 
 
-def start_trending(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
-                   query_name="trending_articles"):
-    return append_stream(trending_frame(events_wm, params), path, checkpoint, query_name, fmt, trigger)
+def start_trending(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
+                   query_name="trending_articles", method=None, by_date=False):
+    df = trending_frame(events, params, method)
+    return append_stream(df, path, checkpoint, query_name, fmt, trigger, date_of="window_start" if by_date else None)
 
 
-def start_editors(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
+def start_sessions(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
+                   query_name="editor_sessions"):
+    with _setting(events.sparkSession, LOCAL_SESSIONS, "true"):
+        return append_stream(sessions_frame(events, params), path, checkpoint, query_name, fmt, trigger)
+
+
+def start_editors(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
                   query_name="active_editors", strict_gap=False, api="rows"):
-    require_rocksdb(events_wm.sparkSession)
-    return update_stream(editors_frame(events_wm, params, strict_gap, api), path, checkpoint, query_name, fmt,
+    require_rocksdb(events.sparkSession)
+    return update_stream(editors_frame(events, params, strict_gap, api), path, checkpoint, query_name, fmt,
                          trigger)
 
 
-def start_spikes(events_wm, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
+def start_spikes(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
                  query_name="edit_spike_detector", mode="final", expiry="processing_time", ttl=None, api="rows"):
-    spark = events_wm.sparkSession
+    spark = events.sparkSession
     require_rocksdb(spark)
-    df = spikes_frame(events_wm, params, mode, expiry, ttl, api)
+    df = spikes_frame(events, params, mode, expiry, ttl, api)
     w = (df.writeStream.outputMode("append" if mode == "final" else "update")
          .foreachBatch(idempotent_batch_writer(path, fmt))
          .option("checkpointLocation", checkpoint).queryName(query_name))
-    with _unchecked_chain(spark, mode == "live"):
+    if mode == "final":
+        return apply_trigger(w, trigger).start()
+    with _setting(spark, CHAINED_CHECK, "false"):
         return apply_trigger(w, trigger).start()
 
 
 @contextmanager
-def _unchecked_chain(spark, off: bool):
-    """The chained-operator check, off while a query is started (it takes the setting
-    with it) and then as it was."""
-    before = spark.conf.get(CHAINED_CHECK, None)
-    if off:
-        spark.conf.set(CHAINED_CHECK, "false")
+def _setting(spark, key: str, value: str):
+    """A setting that holds while a query is started (it takes the setting with it), then as it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        if off:
-            spark.conf.unset(CHAINED_CHECK) if before is None else spark.conf.set(CHAINED_CHECK, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

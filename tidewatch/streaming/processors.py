@@ -66,8 +66,8 @@ def _editor_frame(rows: list[tuple]) -> pd.DataFrame:
     })
 
 
-def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int):
-    """Strict-gap update on one key's sorted batch times (epoch ms).
+def split_spans(times: np.ndarray, counts: np.ndarray, total: int, last, span, idle_ms: int):
+    """Strict-gap update on one key's sorted batch times (epoch ms), each standing for ``counts`` edits.
 
     Returns (closed spans as (total, last, span) tuples, new (total, last, span)).
     A span closes at any gap >= ``idle_ms`` from the running latest time."""
@@ -90,7 +90,7 @@ def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int):
             cur_total, cur_last, cur_span = 0, None, int(times[lo])
         if hi > lo:
             seg_max = int(times[hi - 1])
-            cur_total += int(hi - lo)
+            cur_total += int(counts[lo:hi].sum())
             cur_last = seg_max if cur_last is None else max(cur_last, seg_max)
     return closed, (cur_total, cur_last, cur_span)
 
@@ -99,8 +99,11 @@ class EditorProcessor(StatefulProcessor):
     """Running edit count and last activity per editor, expired ``idle_ms`` of
     event time after the last edit (the watermark must pass the deadline).
 
+    Input rows are partial counts (event_ms, edits), one per task and second where the
+    stream was combined before the shuffle, so a hot editor costs no more rows than that.
+
     ``strict_gap=False`` is the defined behaviour: every edit of a batch is added
-    to the running total whatever its gap -- a count and a max per frame, so a
+    to the running total whatever its gap -- a sum and a max per frame, so a
     hot editor's rows are never held in memory.  ``strict_gap=True`` sorts the
     key's batch times and closes the span at any gap of ``idle_ms`` or more,
     emitting the old span as expired first; for in-order input its final rows
@@ -126,27 +129,25 @@ class EditorProcessor(StatefulProcessor):
         out = []
         if self.strict_gap:
             if self.frames:
-                parts = [(pdf["event_ms"].to_numpy("int64"), pdf["id"].fillna(0).to_numpy("int64")) for pdf in rows]
-                t = np.concatenate([p[0] for p in parts]) if len(parts) > 1 else parts[0][0]
-                ids = np.concatenate([p[1] for p in parts]) if len(parts) > 1 else parts[0][1]
+                parts = [(pdf["event_ms"].to_numpy("int64"), pdf["edits"].to_numpy("int64")) for pdf in rows]
+                t, counts = (np.concatenate(c) for c in zip(*parts))
             else:
-                pairs = [(r.event_ms, r.id if r.id is not None else 0) for r in rows]
-                t = np.fromiter((p[0] for p in pairs), "int64", len(pairs))
-                ids = np.fromiter((p[1] for p in pairs), "int64", len(pairs))
-            times = t[np.lexsort((ids, t))]
-            closed, (total, last, span) = split_spans(times, total, last, span, self.idle_ms)
+                pairs = [(r.event_ms, r.edits) for r in rows]
+                t, counts = (np.fromiter((p[k] for p in pairs), "int64", len(pairs)) for k in range(2))
+            order = np.argsort(t, kind="stable")
+            closed, (total, last, span) = split_spans(t[order], counts[order], total, last, span, self.idle_ms)
             out += [(user, c_total, c_last, True, c_span) for c_total, c_last, c_span in closed]
         else:
             n, lo, hi = 0, None, None
             if self.frames:
                 for pdf in rows:
                     col = pdf["event_ms"].to_numpy("int64")
-                    n += col.size
+                    n += int(pdf["edits"].sum())
                     lo = int(col.min()) if lo is None else min(lo, int(col.min()))
                     hi = int(col.max()) if hi is None else max(hi, int(col.max()))
             else:
                 for r in rows:
-                    n += 1
+                    n += r.edits
                     lo = r.event_ms if lo is None or r.event_ms < lo else lo
                     hi = r.event_ms if hi is None or r.event_ms > hi else hi
             total += n

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import duration_us
@@ -69,11 +69,13 @@ def flush_rows(changes: DataFrame) -> DataFrame:
 
 
 def write_replay(spark: SparkSession, changes: DataFrame, path: str, period: str = "1 day",
-                 flush: bool = True, files_per_batch: int = 1) -> str:
-    """Write ``changes`` (ChangeEvent columns) under ``path``; returns the input folder."""
+                 flush: bool = True, files_per_batch: int = 1, delay: Column | None = None) -> str:
+    """Write ``changes`` (ChangeEvent columns) under ``path``; returns the input folder.
+
+    ``delay`` is the number of periods by which a change arrives after its own."""
     period_s = duration_us(period) // 1_000_000
     wire = changes.select(*CHANGE_SCHEMA.fieldNames())
-    batch_no = F.coalesce(F.floor(F.col("timestamp") / F.lit(period_s)), F.lit(-1)).cast("long")
+    batch_no = F.coalesce(F.floor(F.col("timestamp") / F.lit(period_s)) + (F.lit(0) if delay is None else delay), F.lit(-1)).cast("long")
     value = raw_change_json().alias("value")
     rows = wire.select(value, batch_no.alias("batch_no"))
     if flush:
@@ -98,7 +100,7 @@ def _set_times(spark: SparkSession, target: str) -> None:
         fs.setTimes(file, (FIRST_TIME + i) * 1000, -1)
 
 
-def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str = "1 day") -> str:
+def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str = "1 day", **options) -> str:
     """``write_replay`` once per ``root``; later calls reuse the written files.
 
     Every attempt writes to its own folder and only a finished attempt is
@@ -108,6 +110,6 @@ def replay_input(spark: SparkSession, changes: DataFrame, root: str, period: str
     done = f"{root}/LATEST"  # no leading underscore: Spark skips such files on read
     if not path_exists(spark, done):
         attempt = f"{root}/attempt-{uuid.uuid4().hex[:12]}"
-        target = write_replay(spark, changes, attempt, period)
+        target = write_replay(spark, changes, attempt, period, **options)
         write_marker(spark, done, target)
     return read_marker(spark, done)
