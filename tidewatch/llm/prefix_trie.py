@@ -222,7 +222,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     their own.  A conversation without turns left is a member of the root alone; no
     conversations, no nodes.  Other columns are ignored.
     """
-    prefixes, convs = rebuilt(turns(conversations))
+    prefixes, _ = rebuilt(written(turns(conversations), "trie-digests"))  # the ranges are sampled from it: texts are read once
     k, parent = F.struct("depth", "a", "b"), F.struct((F.col("depth") - 1).alias("depth"), F.col("pa").alias("a"), F.col("pb").alias("b"))
     seq = prefixes.select("conv", F.col("depth").alias("pos"), k.alias("k"), parent.alias("parent"), "words")
     found = written(lines(seq).groupBy("k", "tail").agg(
