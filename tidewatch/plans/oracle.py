@@ -239,3 +239,4 @@ FROM sp WHERE is_spike
 ORDER BY window_start DESC, article_title
 LIMIT 20""",
 })
+ORACLE_SQL["active_board_current"] = ORACLE_SQL["active_board_table"]

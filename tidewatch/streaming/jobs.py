@@ -18,6 +18,7 @@ from tidewatch.operators.spikes import minute_counts
 from tidewatch.operators.trending import trending
 from tidewatch.session import require_rocksdb
 from tidewatch.sources.ingest import watermarked
+from tidewatch.streaming.current import current_table_writer
 from tidewatch.streaming.processors import EDITOR_OUT, SPIKE_OUT, EditorProcessor, SpikeProcessor
 from tidewatch.streaming.sinks import append_stream, apply_trigger, idempotent_batch_writer, update_stream
 
@@ -113,10 +114,12 @@ def start_sessions(events, path, checkpoint, params: Params = DEFAULTS, trigger=
 
 
 def start_editors(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
-                  query_name="active_editors", strict_gap=False, api="rows"):
+                  query_name="active_editors", strict_gap=False, api="rows", current=False):
+    """``current=True`` keeps one row per editor, the latest (``read_current``), instead of the update log."""
     require_rocksdb(events.sparkSession)
+    writer = current_table_writer(path, ["user"], ["span_start", "is_expired", "total_edits"]) if current else None
     return update_stream(editors_frame(events, params, strict_gap, api), path, checkpoint, query_name, fmt,
-                         trigger)
+                         trigger, writer)
 
 
 def start_spikes(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",

@@ -24,6 +24,7 @@ from tidewatch.plans.serve import active_board, hourly_heatmap, table_stats, top
 from tidewatch.session import drained_stream_settings, ensure_utc, scratch_path, shared_root
 from tidewatch.sources import as_of, change_events, deduplicated, from_json_files, read_result, register_result, watermarked
 from tidewatch.streaming.app import await_all
+from tidewatch.streaming.current import read_current
 from tidewatch.streaming.jobs import start_editors, start_sessions, start_spikes, start_trending
 from tidewatch.streaming.late import start_late
 from tidewatch.streaming.replay import FLUSH, replay_input
@@ -291,6 +292,12 @@ def q_active_board_table(spark, sf_dir):
     return to_ntz(active_board(read_result(spark, f"{root}/table"), version_cols=("batch_id", "span_start", "is_expired", "total_edits")))
 
 
+def q_active_board_current(spark, sf_dir):
+    """Q2 on the table of each editor's latest row that the job keeps, so no snapshot is looked for."""
+    root = _run(spark, sf_dir, "active_board_current", start_editors, kind="open", strict_gap=True, current=True)
+    return to_ntz(active_board(read_current(spark, f"{root}/table"), latest=False))
+
+
 def q_spike_board_table(spark, sf_dir):
     """Q3 by SQL on the name under which the table that the spike job wrote is registered."""
     root = _run(spark, sf_dir, "spike_board_table", start_spikes, params=WIDE_SPIKES, expiry="event_time", ttl=REPLAY_SPIKE_TTL)
@@ -330,6 +337,7 @@ STREAM_QUERIES = {
     "top_trending_table": q_top_trending_table,
     "heatmap_table": q_heatmap_table,
     "active_board_table": q_active_board_table,
+    "active_board_current": q_active_board_current,
     "spike_board_table": q_spike_board_table,
     "table_stats": q_table_stats,
 }

@@ -60,7 +60,8 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, query_name: str, fm
 
 
 def update_stream(df: DataFrame, path: str, checkpoint: str, query_name: str, fmt: str = "parquet",
-                  trigger: dict | None = None):
-    w = (df.writeStream.outputMode("update").foreachBatch(idempotent_batch_writer(path, fmt))
+                  trigger: dict | None = None, writer=None):
+    """``writer`` replaces the per-batch folders by another ``foreachBatch`` callback."""
+    w = (df.writeStream.outputMode("update").foreachBatch(writer or idempotent_batch_writer(path, fmt))
          .option("checkpointLocation", checkpoint).queryName(query_name))
     return apply_trigger(w, trigger).start()
