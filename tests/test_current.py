@@ -51,7 +51,7 @@ def test_an_unfinished_batch_is_not_read(spark, scratch):
 def test_editors_current_equals_latest_of_the_log(spark, scratch):
     src = from_json_files(spark, write_batches(f"{scratch}/in", STREAM_A), watermark=False)
     await_all([start_editors(src, f"{scratch}/log", f"{scratch}/c1", trigger=NOW, query_name="log"),
-               start_editors(src, f"{scratch}/now", f"{scratch}/c2", trigger=NOW, query_name="now", current=True)])
+               start_editors(src, f"{scratch}/now", f"{scratch}/c2", trigger=NOW, query_name="now", current=4)])
     cols = ["user", "total_edits", "last_activity", "is_expired"]
     log = latest_per_key(spark.read.parquet(f"{scratch}/log"), ["user"], ["batch_id", "span_start", "is_expired", "total_edits"])
     assert sorted(read_current(spark, f"{scratch}/now").select(*cols).collect()) == sorted(log.select(*cols).collect())

@@ -114,10 +114,12 @@ def start_sessions(events, path, checkpoint, params: Params = DEFAULTS, trigger=
 
 
 def start_editors(events, path, checkpoint, params: Params = DEFAULTS, trigger=None, fmt="parquet",
-                  query_name="active_editors", strict_gap=False, api="rows", current=False):
-    """``current=True`` keeps one row per editor, the latest (``read_current``), instead of the update log."""
+                  query_name="active_editors", strict_gap=False, api="rows",
+                  current: int | None = None):
+    """With ``current`` the table keeps one row per editor, the latest (``read_current``), in so many
+    buckets, instead of the update log."""
     require_rocksdb(events.sparkSession)
-    writer = current_table_writer(path, ["user"], ["span_start", "is_expired", "total_edits"]) if current else None
+    writer = current_table_writer(path, ["user"], ["span_start", "is_expired", "total_edits"], current) if current else None
     return update_stream(editors_frame(events, params, strict_gap, api), path, checkpoint, query_name, fmt,
                          trigger, writer)
 

@@ -66,14 +66,15 @@ def _editor_frame(rows: list[tuple]) -> pd.DataFrame:
     })
 
 
-def split_spans(times: np.ndarray, counts: np.ndarray, total: int, last, span, idle_ms: int):
-    """Strict-gap update on one key's sorted batch times (epoch ms), each standing for ``counts`` edits.
+def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int, counts: np.ndarray | None = None):
+    """Strict-gap update on one key's sorted batch times (epoch ms), each standing for ``counts`` edits (one).
 
     Returns (closed spans as (total, last, span) tuples, new (total, last, span)).
     A span closes at any gap >= ``idle_ms`` from the running latest time."""
     n = len(times)
     if n == 0:
         return [], (total, last, span)
+    counts = np.ones(n, "int64") if counts is None else counts
     lead = times[0] if last is None else last
     prev = np.maximum.accumulate(np.concatenate(([lead], times)))[:-1]
     brk = (times - prev) >= idle_ms
@@ -135,7 +136,7 @@ class EditorProcessor(StatefulProcessor):
                 pairs = [(r.event_ms, r.edits) for r in rows]
                 t, counts = (np.fromiter((p[k] for p in pairs), "int64", len(pairs)) for k in range(2))
             order = np.argsort(t, kind="stable")
-            closed, (total, last, span) = split_spans(t[order], counts[order], total, last, span, self.idle_ms)
+            closed, (total, last, span) = split_spans(t[order], total, last, span, self.idle_ms, counts[order])
             out += [(user, c_total, c_last, True, c_span) for c_total, c_last, c_span in closed]
         else:
             n, lo, hi = 0, None, None

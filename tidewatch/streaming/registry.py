@@ -294,7 +294,7 @@ def q_active_board_table(spark, sf_dir):
 
 def q_active_board_current(spark, sf_dir):
     """Q2 on the table of each editor's latest row that the job keeps, so no snapshot is looked for."""
-    root = _run(spark, sf_dir, "active_board_current", start_editors, kind="open", strict_gap=True, current=True)
+    root = _run(spark, sf_dir, "active_board_current", start_editors, kind="open", strict_gap=True, current=STATE_PARTITIONS)
     return to_ntz(active_board(read_current(spark, f"{root}/table"), latest=False))
 
 
