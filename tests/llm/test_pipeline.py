@@ -34,6 +34,15 @@ def test_each_stage_on_edge_rows_and_on_none(spark, make_docs, edge_rows):
                 assert len(kept) == len(rows), name  # nothing toxic in them
 
 
+def test_each_stage_beside_clashing_and_map_columns(spark, make_docs, edge_rows):
+    for name, stage in corpus_pipeline.STAGES:
+        docs = make_docs(edge_rows).withColumn("meta", F.create_map(F.lit("k"), F.col("source")))
+        out = stage(spark, docs, SF001)
+        assert out.columns[:len(docs.columns)] == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r["score"] == "x" and r["meta"] == {"k": r["source"]} for r in rows), name
+
+
 def test_second_stage_keeps_the_least_of_planted_copies(spark, make_docs):
     rng = random.Random(8)
     base = [f"w{rng.randrange(999)}" for _ in range(200)]

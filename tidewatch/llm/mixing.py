@@ -14,6 +14,7 @@ tasks.  One number per source passes through the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ BLOCKS = 1024          # blocks of a source, more where a block would exceed BLO
 BLOCK_WORDS = 1 << 24
 SHARDS = 64            # output shards, more where a shard would exceed BLOCK_WORDS on average
 MAX_EPOCHS = 3
+FILL_BITS = 1 << 19    # sums told apart when the last blocks of a source are chosen
+FILL_BLOCKS = 1024     # blocks chosen so: 64 MB of sums in the task
 WEIGHTS = (1, 2, 3)
 
 
@@ -76,33 +79,51 @@ def _leaves(quotas: np.ndarray, keys: list[str], shards: int, seed: int):
     return run
 
 
+def nearest_fill(words: np.ndarray, rest: float) -> list[int]:
+    """Indices of blocks, the earliest that do, whose words come nearest to ``rest`` (at a tie, the lower sum).
+
+    Sums that can be reached are bits of one integer per block, in units of one word up to
+    FILL_BITS / 2 words, beyond that of as many words as keep the sums within FILL_BITS.
+    Of more than FILL_BLOCKS blocks the first ones are taken as they fit.
+    """
+    taken = []
+    free = len(words) - FILL_BLOCKS
+    for i in range(free):
+        if words[i] <= rest:
+            taken.append(i)
+            rest -= words[i]
+    unit = max(1, math.ceil(2 * rest / FILL_BITS))
+    goal, limit = rest / unit, (1 << int(2 * rest / unit) + 1) - 1  # a sum beyond 2 * rest is worse than none
+    at, reach = [i for i in range(max(0, free), len(words)) if words[i]], [1]
+    scaled = [round(int(words[i]) / unit) for i in at]
+    for w in scaled:
+        reach.append(reach[-1] | reach[-1] << w & limit if w <= limit.bit_length() else reach[-1])
+    below = (reach[-1] & (1 << int(goal) + 1) - 1).bit_length() - 1
+    above = reach[-1] >> int(goal) + 1
+    total = below
+    if above:
+        up = int(goal) + 1 + (above & -above).bit_length() - 1
+        total = up if up - goal < goal - below else below
+    for k in range(len(at), 0, -1):  # the earliest blocks: a later one only where the sum needs it
+        if not reach[k - 1] >> total & 1:
+            taken.append(at[k - 1])
+            total -= scaled[k - 1]
+    return sorted(taken)
+
+
 def _draw(seed: int):
-    """The draws of one source: whole passes over its blocks, then the blocks of the
-    part pass that fit the rest of the target, taken in permuted order."""
+    """The draws of one source: whole passes over its blocks, then of a permutation of
+    them those that come nearest to the rest of the target."""
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
         target, size = float(blocks["target"].iat[0]), int(blocks["source_size"].iat[0])
         blocks = blocks.sort_values("block", ignore_index=True)
         words = blocks["words"].to_numpy()
         whole = int(target // size) if size else 0
-        rest, taken = target - whole * size, []
         rng = np.random.default_rng([seed, size, len(blocks), *blocks["key"].iat[0].encode()])
-        parts = []
-        for p in range(whole):
-            parts.append((rng.permutation(len(blocks)), p))
-        skipped = []
-        for i in rng.permutation(len(blocks)):
-            if words[i] == 0:
-                continue
-            if words[i] <= rest:
-                taken.append(i)
-                rest -= words[i]
-            else:
-                skipped.append(i)
-        if skipped:
-            best = min(skipped, key=lambda i: abs(rest - words[i]))
-            if abs(rest - words[best]) < rest and whole < MAX_EPOCHS:
-                taken.append(best)
-        parts.append((np.array(taken, int), whole))
+        parts = [(rng.permutation(len(blocks)), p) for p in range(whole)]
+        order = rng.permutation(len(blocks))
+        if whole < MAX_EPOCHS:
+            parts.append((order[nearest_fill(words[order], target - whole * size)], whole))
         order = np.concatenate([p for p, _ in parts])
         return pd.DataFrame({"key": blocks["key"].iat[0], "seq": np.arange(len(order)),
                              "block": blocks["block"].to_numpy()[order],
@@ -125,7 +146,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     ``weights`` in turn.  A null or empty text has size 0 and is drawn with its
     block without adding words; a source of no words has target 0.  Repeated rows
     share a block and are taken alike.  A column named ``out`` is replaced; all
-    others stay.  An empty table gives an empty result.  Equal inputs and seed
+    others stay, whatever their type.  A very long text is a block or part of one
+    and is taken whole.  An empty table gives an empty result.  Equal inputs and seed
     give equal draws, whatever the partitioning.
     """
     sized = written(docs.select(_key(source_col).alias("key"), word_count(F.col(text_col)).alias("size"),
@@ -160,14 +182,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return rows.join(plan, ["key", "block"]).select(*unboxed(keep), F.struct("size", "source_size", "target", "draws").alias(out))
 
 
-def mixture(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, **options) -> DataFrame:
     """The mixed rows themselves: a document once per draw, dealt by shard and
-    shuffled inside it.  Columns are those of ``docs``."""
+    shuffled inside it.  Columns are those of ``docs``, of any type; rows of equal
+    id and text lie in any order."""
     out = "mix"
     while out in docs.columns:
         out += "_"
-    rows = mix(docs, seed=seed, out=out, **options)
+    rows = mix(docs, id_col=id_col, text_col=text_col, seed=seed, out=out, **options)
     rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode(f"{out}.draws").alias("draw"))
-    order = F.xxhash64(F.lit(seed), "draw.pass", "row")
+    order = F.xxhash64(F.lit(seed), "draw.pass", F.col("row")[id_col], F.col("row")[text_col])
     return (rows.withColumn("order", order).repartition("draw.shard").sortWithinPartitions("draw.shard", "order")
             .select(*unboxed(docs.columns)))
