@@ -28,10 +28,25 @@ def test_bounds_are_optimal(seed):
         assert cost == brute(list(lengths), list(counts), buckets)
 
 
-def test_grid_is_exact_to_512_and_fine_above(spark):
-    df = spark.range(1, 5000).select("id", packing.on_grid(__import__("pyspark").sql.functions.col("id")).alias("g"))
-    for r in df.collect():
-        assert r.g == r.id if r.id <= 512 else r.id <= r.g <= r.id * (1 + 1 / 256)
+@pytest.mark.parametrize("seed", range(3))
+def test_bounds_are_optimal_for_long_documents_too(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.sort(rng.choice(200_000, 120, replace=False) + 1)
+    counts = rng.integers(1, 1000, 120)
+    before, cost = np.concatenate([[0], np.cumsum(counts)]), {0: 0}
+    total = np.concatenate([[0], np.cumsum(lengths * counts)])
+    for _ in range(16):
+        cost = {0: 0} | {j: min(c + int(lengths[j - 1]) * int(before[j] - before[i]) - int(total[j] - total[i])
+                                for i, c in cost.items() if i < j) for j in range(1, 121)}
+    bounds = np.array(packing.optimal_bounds(lengths, counts, 16))
+    assert len(bounds) == 16 and set(bounds) <= set(lengths)
+    assert int(((bounds[np.searchsorted(bounds, lengths)] - lengths) * counts).sum()) == cost[120]
+
+
+def test_bounds_are_lengths_of_documents(spark, make_docs):
+    sizes = [5, 700, 701, 2003, 2003, 9001]
+    got = packing.pack(make_docs([(i, "w " * n, "en", "s") for i, n in enumerate(sizes)]), buckets=6).collect()
+    assert all(r["pack"].padding == 0 and r["pack"].bound == sizes[r.doc_id] + 1 for r in got)
 
 
 def test_batches_keep_the_budget_and_every_row(spark, make_docs, edge_rows):

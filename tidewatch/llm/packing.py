@@ -3,15 +3,19 @@
 The global histogram of lengths decides the bucket bounds by dynamic programming:
 among all ways to cut the lengths into at most ``buckets`` runs, the one whose
 documents, padded to their run's longest length, need the fewest padding tokens.
-Lengths above 512 are rounded up on a grid of 1/256 first, so the histogram that
-reaches the driver has at most a few thousand rows whatever the corpus.  A batch
-of a bucket holds as many documents as the token budget allows at the bucket's
-bound.  Batch places come from counts per chunk of a bucket and positions inside
-the chunk; no task sees a whole bucket.
+The histogram that reaches the driver has a row per distinct length, so at most the
+square root of twice the corpus's tokens.  A batch of a bucket holds as many
+documents as the token budget allows at the bucket's bound.  Batch places come from
+counts per chunk of a bucket and positions inside the chunk; no task sees a whole
+bucket.
 """
 
 from __future__ import annotations
 
+from array import array
+from collections import deque
+from itertools import accumulate
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,43 +26,49 @@ from tidewatch.llm._shared import unboxed, word_count, written
 BUCKETS = 16
 TOKEN_BUDGET = 16384
 CHUNK_ROWS = 50_000
-GRID_BITS = 8
-
-
-def on_grid(length: Column) -> Column:
-    """``length`` rounded up to a multiple of 2**(bits - 9): exact up to 512."""
-    bits = F.length(F.bin(F.greatest(length, F.lit(1)) - 1))
-    step = F.greatest(F.lit(0), bits - (GRID_BITS + 1))
-    unit = F.expr("1L") * F.pow(F.lit(2.0), step).cast("long")
-    return (F.ceil(length / unit) * unit).cast("long")
 
 
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` runs of the sorted ``lengths`` that minimise
-    sum(bound - length) over all documents."""
+    sum(bound - length) over all documents.
+
+    A run that starts behind the i-th length and ends at bound b pads a part that depends on
+    b alone and best[i] + words[i] - b * docs[i]: a line in b.  Bounds rise and so do the
+    docs before a cut, so the least line is the front of a hull that is walked once.
+    """
     m = len(lengths)
-    if m == 0:
-        return []
-    n = np.concatenate([[0], np.cumsum(counts, dtype=np.float64)])
-    total = np.concatenate([[0], np.cumsum(lengths * counts, dtype=np.float64)])
-    best = np.full(m + 1, np.inf)
-    best[0] = 0
+    longest = [int(x) for x in lengths]
+    docs = [0, *accumulate(int(c) for c in counts)]
+    words = [0, *accumulate(x * int(c) for x, c in zip(longest, counts, strict=True))]
+    best: list[int | None] = [0] + [None] * m
     cuts = []
     for _ in range(min(buckets, m)):
-        nxt, cut = np.full(m + 1, np.inf), np.zeros(m + 1, int)
-        nxt[0] = 0
+        nxt: list[int | None] = [0] + [None] * m
+        cut = array("q", [0]) * (m + 1)
+        hull: deque[tuple[int, int, int]] = deque()  # (docs before, height, cut)
         for j in range(1, m + 1):
-            cost = best[:j] + lengths[j - 1] * (n[j] - n[:j]) - (total[j] - total[:j])
-            cut[j] = int(np.argmin(cost))
-            nxt[j] = cost[cut[j]]
+            start = best[j - 1]
+            if start is not None:
+                n, height = docs[j - 1], start + words[j - 1]
+                while len(hull) > 1:
+                    (n0, h0, _), (n1, h1, _) = hull[-2], hull[-1]
+                    if (height - h0) * (n1 - n0) > (h1 - h0) * (n - n0):
+                        break
+                    hull.pop()
+                hull.append((n, height, j - 1))
+            b = longest[j - 1]
+            while len(hull) > 1 and hull[1][1] - b * hull[1][0] < hull[0][1] - b * hull[0][0]:
+                hull.popleft()
+            nxt[j] = hull[0][1] - b * hull[0][0] + b * docs[j] - words[j]
+            cut[j] = hull[0][2]
         cuts.append(cut)
         best = nxt
     bounds, j = [], m
     for cut in reversed(cuts):
         if j == 0:
             break
-        bounds.append(int(lengths[j - 1]))
-        j = int(cut[j])
+        bounds.append(longest[j - 1])
+        j = cut[j]
     return bounds[::-1]
 
 
@@ -77,15 +87,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     length = word_count(F.col(text_col)) + 1 if length is None else length
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), length.cast("long").alias("n_tokens"),
                        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("h"))
-    rows = rows.withColumn("g", on_grid(F.col("n_tokens")))
-    seen = written(rows.select("g", "h"), "lengths")
-    hist = sorted((r["g"], r["n"]) for r in seen.groupBy("g").agg(F.count("*").alias("n")).collect())
-    bounds = optimal_bounds(np.array([g for g, _ in hist], float), np.array([n for _, n in hist], float), buckets) or [1]
-    chunks = max(64, sum(n for _, n in hist) // CHUNK_ROWS)
+    seen = written(rows.select("n_tokens", "h"), "lengths")
+    hist = seen.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")
+    counts = hist["n"].to_numpy()
+    bounds = optimal_bounds(hist["n_tokens"].to_numpy(), counts, buckets) or [1]
+    chunks = max(64, int(counts.sum()) // CHUNK_ROWS)
 
     bucket = F.lit(0)
     for b in bounds[:-1]:
-        bucket = bucket + (F.col("g") > b).cast("int")
+        bucket = bucket + (F.col("n_tokens") > b).cast("int")
     # never null, and said so: else the join would have Spark test both, lengths counted anew, on every row
     bucket = F.coalesce(bucket, F.lit(0))
     chunk = F.coalesce(F.pmod(F.shiftright("h", 8), F.lit(chunks)), F.lit(0))
