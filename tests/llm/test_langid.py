@@ -1,4 +1,8 @@
+import math
+import zlib
+
 import numpy as np
+import pytest
 
 from tidewatch.llm import langid
 
@@ -28,6 +32,52 @@ def test_filters_return_every_language_of_a_trigram():
     assert wrong <= 2 * expected + 20
 
 
+def brute_filters(rows, coverage, min_share):
+    """The trigrams of each language's filter, language by language."""
+    counts = {}
+    for lang, text in rows:
+        grams, n = np.unique(langid.trigrams([text])[0], return_counts=True)
+        for g, k in zip(grams.tolist(), n.tolist(), strict=True):
+            counts.setdefault(lang, {})[g] = counts.get(lang, {}).get(g, 0) + k
+    share = {}
+    for lang, have in counts.items():
+        total, seen = sum(have.values()), 0
+        classes = {}
+        for g, k in have.items():
+            classes.setdefault(math.floor(math.log2(k) * 8), []).append(g)
+        for c in sorted(classes, reverse=True):
+            if seen >= coverage * total:
+                break
+            seen += sum(have[g] for g in classes[c])
+            share.update({(lang, g): have[g] / total for g in classes[c]})
+    top = {}
+    for (_, g), x in share.items():
+        top[g] = max(top.get(g, 0), x)
+    return {(lang, g) for (lang, g), x in share.items() if x >= min_share * top[g]}
+
+
+@pytest.mark.parametrize("coverage, min_share", [(1.0, 0.0), (0.9, 0.1)])
+def test_trained_filters_hold_every_trigram_of_a_large_script(spark, make_docs, coverage, min_share):
+    """70 languages, two of thousands of letters: far more trigrams than a small alphabet has."""
+    rng = np.random.default_rng(4)
+
+    def text(lang):
+        first, letters = (0x4E00 + 6000 * (lang % 2), 6000) if lang < 2 else (ord("a") + lang % 5, 20)
+        return " ".join("".join(chr(first + int(x)) for x in letters * rng.power(3, 6)) for _ in range(2500 if lang < 2 else 30))
+    rows = [(i, text(i % 70), f"l{i % 70:02}", "s") for i in range(280)]
+    learnt = [(lang, t) for i, t, lang, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    want = brute_filters(learnt, coverage, min_share)
+    model = langid.train(make_docs(rows), coverage, min_share)
+    assert model.langs == sorted({lang for lang, _ in want})
+    if coverage == 1.0:
+        assert max(sum(x == lang for x, _ in want) for lang in model.langs) > 20_000
+    for i, lang in enumerate(model.langs):
+        masks = model.masks(np.array([g for x, g in want if x == lang], np.int64))
+        assert ((masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).all()
+    same = langid.build(list(want), model.langs, None)
+    assert (same.table == model.table).all()
+
+
 def test_counts_are_corrected_for_false_positives():
     model = langid.build([("a", 1), ("b", 2)], ["a", "b"], "a")
     model.false_rate = np.array([0.5, 0.0])

@@ -1,10 +1,11 @@
 """Language of a text by language-bitmask trigram filters.
 
 Training counts code-point trigrams of words per language over all learnable
-texts.  A language's filter holds its most frequent trigrams, without those that
-are many times as frequent in another language.  All filters share one bit-sliced
-Bloom filter: every slot holds one bit per language, so the AND of a trigram's
-slots is the set of languages that contain it.  A text's matches are counted per
+texts.  A language's filter holds the trigrams that make up ``COVERAGE`` of its
+text, however many these are, without those that are many times as frequent in
+another language.  All filters share one bit-sliced Bloom filter, built in tasks:
+every slot holds one bit per language, so the AND of a trigram's slots is the set
+of languages that contain it.  A text's matches are counted per
 language, corrected by each filter's false-positive rate, and the largest decides.
 """
 
@@ -19,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewatch.llm._shared import fold
+from tidewatch.llm._shared import fold, written
 from tidewatch.llm._words import mix
 
-GRAMS = 20_000         # most trigrams of a language's filter
+COVERAGE = 0.9999      # of a language's trigrams, told by frequency, that its filter holds at least
 MIN_SHARE = 0.1        # least frequency relative to the language where a trigram is most frequent
 HASHES = 4
 SLOTS_PER_GRAM = 16
+MAX_SLOTS = 1 << 22    # 32 MB per 64 languages; fuller filters have more false positives, which are corrected for
 SLICE_CHARS = 1 << 20
 
 _alpha: np.ndarray | None = None
@@ -97,48 +99,83 @@ class Model:
 
     def masks(self, grams: np.ndarray) -> np.ndarray:
         """The set of languages of each trigram, as bits."""
-        h = mix(grams.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        low = np.uint64(len(self.table) - 1)
-        out = self.table[h & low]
-        for k in range(1, HASHES):
-            out &= self.table[(h + np.uint64(k) * step) & low]
-        return out
+        return np.bitwise_and.reduce(self.table[slots(grams, len(self.table))], axis=0)
+
+
+def _filter_size(grams: int) -> int:
+    return min(MAX_SLOTS, 1 << max(10, (SLOTS_PER_GRAM * max(1, grams) - 1).bit_length()))
+
+
+def slots(grams: np.ndarray, size: int) -> np.ndarray:
+    """The slots of every trigram, a row per hash function."""
+    h = mix(grams.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    return np.array([(h + np.uint64(k) * step) & np.uint64(size - 1) for k in range(HASHES)])
+
+
+def _model(table: np.ndarray, langs: list[str], default: str | None) -> Model:
+    fill = np.array([np.mean((table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)) for i in range(len(langs))])
+    return Model(langs, table, fill ** HASHES, default)
 
 
 def build(rows: list[tuple[str, int]], langs: list[str], default: str | None) -> Model:
     """The bit-sliced filter of (language, trigram) pairs."""
-    size = 1 << max(10, (SLOTS_PER_GRAM * max(1, len({g for _, g in rows})) - 1).bit_length())
+    size = _filter_size(len({g for _, g in rows}))
     table = np.zeros((size, max(1, -(-len(langs) // 64))), np.uint64)
     for i, lang in enumerate(langs):
-        grams = np.array([g for name, g in rows if name == lang], np.int64)
-        h = mix(grams.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        for k in range(HASHES):
-            at = (h + np.uint64(k) * step) & np.uint64(size - 1)
-            table[at, i // 64] |= np.uint64(1) << np.uint64(i % 64)
-    fill = np.array([np.mean((table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)) for i in range(len(langs))])
-    return Model(langs, table, fill ** HASHES, default)
+        at = slots(np.array([g for name, g in rows if name == lang], np.int64), size)
+        table[at.ravel(), i // 64] |= np.uint64(1) << np.uint64(i % 64)
+    return _model(table, langs, default)
+
+
+def _set_bits(langs: list[str], size: int):
+    """The bits that one task's (language, trigram) pairs set, a row per slot and 64 languages."""
+    number = {lang: i for i, lang in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            who = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+            at = slots(batch.column(1).to_numpy(), size).astype(np.int64)
+            key = (at * (1 + len(langs) // 64) + who // 64).ravel()
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            if len(first):
+                bit = np.tile(np.uint64(1) << (who % 64).astype(np.uint64), HASHES)[order]
+                key = key[order[first]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key // (1 + len(langs) // 64)), pa.array(key % (1 + len(langs) // 64)),
+                     pa.array(np.bitwise_or.reduceat(bit, first).view(np.int64))], names=["slot", "part", "bits"])
+    return run
 
 
-def train(docs: DataFrame, grams: int = GRAMS) -> Model:
+def train(docs: DataFrame, coverage: float = COVERAGE, min_share: float = MIN_SHARE) -> Model:
     """Learn from documents with text and language whose fold modulo 4 is not 2.
 
-    At most ``grams`` trigrams of each language reach the driver.
+    One row per language and frequency class and the filter's bits, at most MAX_SLOTS
+    longs per 64 languages, reach the driver; trigrams stay in tasks.
     """
     rows = (docs.where(fold(F.col("doc_id"), 4) != 2).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
             .where("lang IS NOT NULL AND text IS NOT NULL"))
-    counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
-    common = counts.withColumn("share", share).withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))).where(F.col("rank") <= grams)
-    top = F.max("share").over(Window.partitionBy("gram"))
-    kept = common.withColumn("top", top).where(F.col("share") >= MIN_SHARE * F.col("top")).select("lang", "gram", "n").collect()
-    sizes: dict[str, int] = {}
-    for r in kept:
-        sizes[r["lang"]] = sizes.get(r["lang"], 0) + r["n"]
+    counts = written(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                     .withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "trigrams")
+    # frequency classes from the most frequent down, until the language is covered; some hundred rows a language
+    classes = counts.groupBy("lang", "class").agg(F.sum("n").alias("n"))
+    by_lang = Window.partitionBy("lang")
+    more = F.coalesce(F.sum("n").over(by_lang.orderBy(F.col("class").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    least = (classes.withColumns({"more": more, "all": F.sum("n").over(by_lang)}).where(F.col("more") < coverage * F.col("all"))
+             .groupBy("lang").agg(F.min("class").alias("least"), F.first("all").alias("all")))
+    share = F.col("n") / F.col("all")
+    top = F.max("share").over(Window.partitionBy("gram"))  # a row per language at most
+    kept = written(counts.join(least, "lang").where(F.col("class") >= F.col("least")).select("lang", "gram", "n", share.alias("share"))
+                   .withColumn("top", top).where(F.col("share") >= min_share * F.col("top")).select("lang", "gram", "n"), "filters")
+    sizes = {r["lang"]: r["n"] for r in kept.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(sizes)
-    return build([(r["lang"], r["gram"]) for r in kept], langs, max(langs, key=lambda x: (sizes[x], x), default=None))
+    size = _filter_size(kept.select("gram").distinct().count())
+    bits = (kept.select("lang", "gram").mapInArrow(_set_bits(langs, size), "slot long, part long, bits long")
+            .groupBy("slot", "part").agg(F.bit_or("bits").alias("bits")).toArrow())
+    table = np.zeros((size, max(1, -(-len(langs) // 64))), np.uint64)
+    table[bits["slot"].to_numpy(), bits["part"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    return _model(table, langs, max(langs, key=lambda x: (sizes[x], x), default=None))
 
 
 def decide(model: Model, texts: list[str]) -> list[tuple[str, float]]:
@@ -176,16 +213,17 @@ def _predict(shared):
     return run
 
 
-def language_id(docs: DataFrame) -> DataFrame:
+def language_id(docs: DataFrame, coverage: float = COVERAGE, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per document: (doc_id, held_out, lang_pred, score).
 
     ``lang_pred`` is ``und`` with score 0 for a text that is null or has no letter,
     or if nothing was learned; a text without any known trigram gets the language
     of most trigrams with score 0; ties go to the first language by name.  The
     score is the winner's share of the two largest corrected counts.  A null id is
-    learned from; repeated rows come out as often; other columns are ignored.
+    learned from; repeated rows come out as often; other columns are ignored.  A very
+    long text is read whole; an empty table gives an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs))  # at most GRAMS * languages trigrams
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, coverage, min_share))  # MAX_SLOTS longs per 64 languages
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_predict(model), "doc_id long, lang_pred string, score double").select(
         "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
