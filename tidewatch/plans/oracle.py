@@ -78,6 +78,12 @@ SELECT title, make_timestamp((epoch_us(event_time) // 60000000) * 60000000) AS w
        make_timestamp((epoch_us(event_time) // 60000000) * 60000000 + 60000000) AS window_end,
        count(*) AS edit_count
 FROM e GROUP BY 1, 2, 3""",
+    "evolved_counts": _BASE + """
+SELECT title, window_start,
+       CASE WHEN window_start >= TIMESTAMP '2024-01-16 00:00:00' THEN window_start + INTERVAL 1 MINUTE END AS window_end,
+       edit_count
+FROM (SELECT title, make_timestamp((epoch_us(event_time) // 60000000) * 60000000) AS window_start, count(*) AS edit_count
+      FROM e GROUP BY 1, 2)""",
     "spikes_batch": _BASE + _spikes(60_000_000, 5.0) + "SELECT * FROM sp",
     "spikes_wide": _BASE + _spikes(21_600_000_000, 2.0) + "SELECT * FROM sp",
     "editor_spans": _BASE + _SPANS + "SELECT * FROM spans",

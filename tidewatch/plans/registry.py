@@ -16,14 +16,16 @@ from tidewatch.config import DEFAULTS, Params
 from tidewatch.functions.columns import to_ntz
 from tidewatch.operators import editor_running, editor_spans, minute_counts, spikes, trending
 from tidewatch.plans.serve import active_board, hourly_heatmap_from_events, spike_board, top_trending_from_events
-from tidewatch.session import ensure_utc
-from tidewatch.sources import change_events, edits, parse_changes, read_table, with_event_time
+from tidewatch.session import ensure_utc, scratch_path
+from tidewatch.sources import change_events, edits, parse_changes, read_result, read_table, with_event_time
 from tidewatch.sources.ingest import raw_change_json
 
 # Oracle-checkable spike setting: at the test densities one-minute windows
 # nearly always hold a single edit, so the default rule finds nothing.
 WIDE_SPIKES = DEFAULTS.with_(spike_window="6 hours", spike_multiplier=2.0)
 
+EVOLVED_AT = "2024-01-16 00:00:00"  # first window that the later version wrote in ``evolved_counts``
+
 
 def _edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
@@ -89,6 +91,17 @@ def q_hourly_heatmap(spark, sf_dir):
     return to_ntz(hourly_heatmap_from_events(_edits(spark, sf_dir)))
 
 
+def q_evolved_counts(spark, sf_dir):
+    """A table of minute counts that two versions of a job wrote: until ``EVOLVED_AT`` without
+    the window's end and with counts as int; read under the later schema."""
+    counts = minute_counts(_edits(spark, sf_dir))
+    path = scratch_path(spark, "evolved-counts")
+    later = F.col("window_start") >= F.lit(EVOLVED_AT).cast("timestamp")
+    (counts.where(~later).select("title", "window_start", F.col("edit_count").cast("int")).write.parquet(path))
+    counts.where(later).write.mode("append").parquet(path)
+    return to_ntz(read_result(spark, path, schema=counts.schema))
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_changes": q_parse_changes,
     "trending_sliding": q_trending_sliding,
@@ -103,6 +116,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_board": q_active_board,
     "spike_board": q_spike_board,
     "hourly_heatmap": q_hourly_heatmap,
+    "evolved_counts": q_evolved_counts,
 }
 
 __all__ = ["BATCH_QUERIES", "WIDE_SPIKES", "read_table", "Params"]

@@ -10,16 +10,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def read_result(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3: batch read of a result table."""
-    return spark.read.format(fmt).load(path)
+def read_result(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | StructType | None = None,
+                merge_schema: bool = False) -> DataFrame:
+    """S3: batch read of a result table, whose files may come from several versions of a job.
+
+    Under a stated ``schema`` a column that a file lacks is null, one that the schema lacks is
+    left out, and a narrower number is widened (int to long, float to double); no footer is
+    read to plan it.  ``merge_schema`` finds all columns of all files instead: a job over every
+    footer, in which a column must have one type throughout.  Columns of the folder names
+    (date, run_id, batch_id) are there either way.
+    """
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    return reader.load(path)
 
 
-def register_result(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Expose a result table to SQL under ``name``."""
-    df = read_result(spark, path, fmt)
+def register_result(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """Expose a result table to SQL under ``name``; ``options`` as of ``read_result``."""
+    df = read_result(spark, path, fmt, **options)
     df.createOrReplaceTempView(name)
     return df
 
