@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from tidewatch.llm import secrets
+from tidewatch.llm._shared import join_each
 
 PATTERNS = [("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 12),
             ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)]
@@ -106,3 +107,33 @@ def test_digest_of_the_query(spark):
     from tidewatch.llm import queries
     r = queries.op9_secrets(spark, "/root/testdata/sf0.001").orderBy(F.length("spans").desc()).first()
     assert r.base_sha256 == hashlib.sha256(r.spans.encode()).hexdigest()
+
+
+def test_copies_of_one_blob_are_dealt_over_tasks(spark):
+    key = "AKIA" + "A" * 16
+    rows = spark.range(3000).select(F.concat(F.lit("p"), "id").alias("path"),
+                                    F.when(F.col("id") % 3 > 0, F.lit(f"x {key}")).otherwise(F.concat(F.lit("y "), "id")).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = secrets.scan(rows)
+        assert got.where(F.size("spans") == 1).count() == 2000 and got.count() == 3000
+        sizes = [r.n for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 1500  # the 2,000 copies do not meet in one task
+
+
+def test_join_each_equals_a_plain_join(spark):
+    rows = spark.range(500).select(F.when(F.col("id") % 5 > 0, F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string"))).alias("k"), "id")
+    values = rows.where("k IS NOT NULL AND id % 3 > 0").select("k").distinct().withColumn("v", F.concat(F.lit("v"), "k"))
+    for how in ("left", "inner"):
+        got, want = join_each(rows, values, "k", ["id"], how), rows.join(values, "k", how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_text_is_read_once_for_all_rules(spark, scratch):
+    key = "AKIA" + "A" * 16
+    docs = versions(spark, [(f"p{i}", f"token = {key} {'ab' * 20}") for i in range(5)])
+    secrets.scan_into(docs, scratch)
+    found = spark.read.parquet(f"{scratch}/findings").groupBy("kind").count().collect()
+    assert {r.kind: r["count"] for r in found} == {"assign": 1, "access": 1, "hex": 1}

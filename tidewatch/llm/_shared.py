@@ -37,6 +37,20 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_each(rows: DataFrame, values: DataFrame, key: str, by: list[str], how: str = "left") -> DataFrame:
+    """``rows`` joined with ``values``, which has one row per ``key``, where one key may
+    hold most of ``rows``.
+
+    The rows of a key are dealt by the hash of ``by`` into as many parts as a shuffle has
+    partitions, and its value goes to each part that occurs, so to no more places than
+    the key has rows.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(*by), F.lit(parts)))
+    places = rows.select(key, "_part").distinct()
+    return rows.join(values.join(places, key), [key, "_part"], how).drop("_part")
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -4,8 +4,9 @@ Every version of a path is addressed by the SHA-256 of its content.  The ledger
 holds the (blob, rule, rule version) triples that were scanned before; a scan
 takes one text of each blob with an unseen triple, finds the spans, records them
 and then the triples, and joins the findings of all blobs back to every path
-that ever held them.  A crash between the two writes leaves the triples unseen,
-so the blobs are scanned again and nothing is lost.
+that ever held them; the paths of one blob are dealt over many tasks.  A crash
+between the two writes leaves the triples unseen, so the blobs are scanned again
+and nothing is lost.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewatch.llm._shared import boxed, text_or_empty
+from tidewatch.llm._shared import boxed, dropped, join_each, text_or_empty, written
 from tidewatch.session import scratch_path
 
 
@@ -80,20 +81,20 @@ def scan_into(versions: DataFrame, ledger: str, path_col: str = "path", text_col
     v = versions.select(F.col(path_col).alias("path"), text_or_empty(text_col).alias("text"))
     v = v.withColumn("blob", F.unhex(F.sha2("text", 256)))
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version")) for r in rules])
-    reps = v.groupBy("blob").agg(F.min("path").alias("rep"))
-    pairs = reps.select("blob", "rep", F.inline(wanted))
-    unseen = pairs.join(_read(spark, ledger, "scanned", TRIPLE), ["blob", "kind", "rule_version"], "left_anti")
-    todo = unseen.groupBy("blob").agg(F.min("rep").alias("rep"), F.collect_set("kind").alias("kinds"))
-    todo = todo.withColumnRenamed("blob", "todo")
-    # one text of each blob; repeated rows of the same path repeat findings, which are made distinct
-    texts = v.join(todo.hint("shuffle_hash"), v.path.eqNullSafe(todo.rep) & (v.blob == todo.todo)).select("blob", "kinds", "text")
-    texts = texts.where(text_rlike_any(rules))
+    pairs = v.select("blob").distinct().select("blob", F.inline(wanted))
+    unseen = written(pairs.join(_read(spark, ledger, "scanned", TRIPLE), ["blob", "kind", "rule_version"], "left_anti"), "unseen")
+    todo = unseen.groupBy("blob").agg(F.collect_set("kind").alias("kinds"))
+    # each task keeps one text of a blob before the shuffle, and the texts are written once for all rules
+    texts = v.where(text_rlike_any(rules)).groupBy("blob").agg(F.first("text").alias("text"))
+    texts = written(texts.join(todo, "blob"), "unseen-texts")
     found = None
     for rule in rules:
         part = _found(texts, rule)
         found = part if found is None else found.unionByName(part)
-    found.distinct().write.mode("append").parquet(f"{ledger}/findings")
+    found.write.mode("append").parquet(f"{ledger}/findings")
     unseen.select("blob", "kind", "rule_version").write.mode("append").parquet(f"{ledger}/scanned")
+    dropped(texts)
+    dropped(unseen)
 
 
 def text_rlike_any(rules: tuple[Rule, ...]) -> Column:
@@ -103,21 +104,25 @@ def text_rlike_any(rules: tuple[Rule, ...]) -> Column:
     return test
 
 
-def findings(versions: DataFrame, ledger: str, path_col: str = "path", text_col: str = "text",
-             rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per version: (path, blob, spans), spans an array of (start, rank, kind,
-    end) ordered by start, then by the rules' order."""
-    spark = versions.sparkSession
+def blob_spans(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans) of every blob with a finding of these rule versions, spans as in ``findings``."""
     rank = F.lit(len(rules))
     current = F.lit(False)
     for i, r in enumerate(rules):
         rank = F.when(F.col("kind") == r.kind, i).otherwise(rank)
         current = current | ((F.col("kind") == r.kind) & (F.col("rule_version") == r.version))
+    # a scan that was cut short leaves findings that the next one repeats
     known = _read(spark, ledger, "findings", FINDING).where(current).distinct()
     # collected per blob: bounded by the length of one text
-    by_blob = known.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("spans"))
+    return known.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("spans"))
+
+
+def findings(versions: DataFrame, ledger: str, path_col: str = "path", text_col: str = "text",
+             rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per version: (path, blob, spans), spans an array of (start, rank, kind,
+    end) ordered by start, then by the rules' order."""
     v = versions.select(F.col(path_col).alias("path"), F.unhex(F.sha2(text_or_empty(text_col), 256)).alias("blob"))
-    return v.join(by_blob, "blob", "left").select(
+    return join_each(v, blob_spans(versions.sparkSession, ledger, rules), "blob", ["path"]).select(
         "path", "blob", F.coalesce("spans", F.array().cast("array<struct<start:long,rank:int,kind:string,end:long>>")).alias("spans"))
 
 
@@ -127,7 +132,8 @@ def scan(versions: DataFrame, path_col: str = "path", text_col: str = "text", le
     the findings of every version.
 
     A null text counts as empty and has no spans.  Null and repeated paths are
-    returned row by row.  Other columns are ignored.  An empty table gives an empty result.
+    returned row by row.  Very long texts are taken whole.  Other columns are ignored.
+    An empty table gives an empty result.
     """
     ledger = ledger or scratch_path(versions.sparkSession, "llm-ledger")
     scan_into(versions, ledger, path_col, text_col, rules)
@@ -148,10 +154,12 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every secret span replaced by a mark and ``n_chars``, where there is
     such a column, set to the new length.  Rows without findings stay as they are."""
-    found = (scan(docs, path_col=id_col, text_col=text_col).where(F.size("spans") > 0)
-             .select("blob", "spans").dropDuplicates(["blob"]))
+    ledger = scratch_path(docs.sparkSession, "llm-ledger")
+    scan_into(docs, ledger, id_col, text_col)
     text = F.col("row")[text_col]
-    rows = boxed(docs).withColumn("blob", F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))).join(found, "blob", "left")
+    rows = boxed(docs).withColumn("blob", F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)))
+    rows = rows.withColumn("id", F.col("row")[id_col])
+    rows = join_each(rows, blob_spans(docs.sparkSession, ledger), "blob", ["id"])
     hit = F.col("spans").isNotNull()
     rows = rows.select("row", F.when(hit, redact(text, F.col("spans"))).alias("clean"))
     changed = F.col("clean").isNotNull()
