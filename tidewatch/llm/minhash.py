@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._shared import boxed, unboxed, written
+from tidewatch.llm._shared import boxed, join_each, unboxed, written
 from tidewatch.llm._words import shingle_hashes, slices, words
 from tidewatch.llm.components import components
 
@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the sets of all classes that share a bucket with another, from one text of each
     reps = members.select("key").distinct().join(classes.select("key", "rep"), "key").select(
         "key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
-    texts = docs.join(reps.hint("shuffle_hash"),
+    texts = docs.join(reps,
                       docs.doc_id.eqNullSafe(reps.rep_id) & (docs.text_hash == reps.rep_hash)).select("key", "text")
     sets = written(texts.mapInArrow(_sets(shingle), "key binary, set binary").dropDuplicates(["key"]), "sets")
 
@@ -241,8 +241,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots_of = sketch.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(final, "key", "left")
     roots_of = roots_of.withColumn("root", F.coalesce("root", "key"))
     named = roots_of.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = roots_of.join(named, "root").select("key", "component_id")
-    return (sketch.select("doc_id", "text_hash", "n_shingles", "key").join(by_class, "key", "left")
+    # a component may hold a third of all classes, a class a third of all rows
+    by_class = join_each(roots_of, named, "root", ["key"]).select("key", "component_id")
+    return (join_each(sketch.select("doc_id", "text_hash", "n_shingles", "key"), by_class, "key", ["doc_id", "text_hash"])
             .select("doc_id", "text_hash", "n_shingles",
                     F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.when(F.col("n_shingles") == 0, F.lit(True)).otherwise(
@@ -256,4 +257,4 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80
     kept = near_duplicates(docs, shingle=shingle, percent=percent).where("kept").select("doc_id", "text_hash").distinct()
     rows = boxed(docs).withColumn("hash", F.xxhash64(F.col("row.text").cast("string")))
     same = F.col("row.doc_id").cast("long").eqNullSafe(kept.doc_id) & (F.col("hash") == kept.text_hash)
-    return rows.join(kept.hint("shuffle_hash"), same, "left_semi").select(*unboxed(docs.columns))
+    return rows.join(kept, same, "left_semi").select(*unboxed(docs.columns))
