@@ -55,6 +55,39 @@ def corpus(make_docs, spark, n=900):
     return rows, labels
 
 
+def test_quotations_of_any_length_end_with_their_paragraph():
+    def inside(text):
+        tokens, ends = tox.tokens_of(text)
+        assert len(tokens) == ends[-1] if tokens else not any(ends)
+        return [t for t, q in zip(tokens, tox.quoted(tokens, ends), strict=True) if q]
+
+    long = " ".join(f"w{i}" for i in range(500))
+    assert inside(f'a "{long}" b') == f'"{long}"'.split()
+    assert inside(f'a "{long}\n{long} b" c') == []  # never closed in its paragraph
+    assert inside("a “b «c d” e f» g") == ["“b", "«c", "d”"]  # closed by its own mark
+    assert inside('a " b c " d') == ['"', "b", "c", '"']
+    assert inside("the dogs' bowl 'tis empty") == []
+    assert inside('("a b"). c') == ['("a', 'b").'] and inside("") == []
+
+
+def test_one_edit_in_a_short_term_is_caught_and_one_clean_use_does_not_stop_it(spark, make_docs):
+    rng = random.Random(3)
+    plain = [" ".join(f"w{rng.randrange(300)}" for _ in range(30)) for _ in range(400)]
+    rows, lab = [], []
+    for i, t in enumerate(plain):
+        bad = i % 4 == 0
+        at = rng.randrange(4)
+        typo = "scum"[:at] + rng.choice("bdfghjkl") + "scum"[at + 1:]
+        word = "" if not bad else typo if i % 3 == 0 else "skum" if i % 3 == 1 else "scum"
+        rows.append((i, f"{t} {word}".strip() if i != 2 else t + " skum", "en", "s"))
+        lab.append((i, int(bad)))
+    rows += [(1000, plain[1] + " scun", "en", "s"), (1001, plain[1], "en", "s")]
+    labels = spark.createDataFrame(lab, "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in tox.toxicity(make_docs(rows), labels).collect()}
+    assert got[1000] > 0.5 > got[1001]
+    assert all(got[i] > 0.5 for i in range(4, 400, 12))  # skum, though one clean text has it
+
+
 def test_misspelled_terms_count_and_quotations_do_not(spark, make_docs):
     rows, labels = corpus(make_docs, spark)
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")

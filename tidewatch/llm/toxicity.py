@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import string
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +28,6 @@ from tidewatch.llm import minhash
 from tidewatch.llm._shared import fold, written
 
 SAMPLE_ROWS = 20_000   # labelled documents the classifier is fitted on
-MAX_TERMS = 2_000      # terms and stems of the lexicon
 WINDOW = 5             # words on each side of a hit
 CONTEXT_BINS = 1024
 CACHE_WORDS = 200_000  # words whose outcome a task remembers
@@ -36,14 +36,14 @@ LEAST_ODDS = math.log(2.0)                        # of a word under a stem, to c
 OWN_USES = 3           # uses from which a word under a stem has odds of its own
 STEM_LENGTHS, STEM_WORDS = (4, 5, 6, 7, 8), 4
 COPY_BANDS = 16        # bands by which copies among labelled texts are told
-QUOTE_SPAN = 12        # most words between two quotation marks
 
-QUOTES = "\"“”„«»‹›‘’'"
+CLOSING = {'"': '"', "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹", "‘": "’", "‚": "‘’", "'": "'", "’": "’"}
+QUOTES = "".join(CLOSING)
 EDGE = string.punctuation + QUOTES + "…–—¡¿"
 
 
 def allowed_edits(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 3 else 1 if len(term) < 9 else 2
 
 
 class Automaton:
@@ -145,17 +145,39 @@ def norm(token: str) -> str:
     return token.lower().strip(EDGE)
 
 
-def quoted(tokens: list[str]) -> list[bool]:
-    """Whether each token stands between quotation marks at most QUOTE_SPAN words apart."""
-    out, opened = [False] * len(tokens), -1
-    for i, t in enumerate(tokens):
-        if t[0] in QUOTES and (opened < 0 or i - opened > QUOTE_SPAN):
-            opened = i
-        bare = t.rstrip(".,;:!?)")
-        if opened >= 0 and bare and bare[-1] in QUOTES and (i > opened or len(bare) > 1):
-            if i - opened <= QUOTE_SPAN:
-                out[opened:i + 1] = [True] * (i + 1 - opened)
-            opened = -1
+def tokens_of(text: str) -> tuple[list[str], list[int]]:
+    """The tokens of a text, and where each of its paragraphs ends among them."""
+    tokens, ends = [], []
+    for paragraph in text.splitlines():
+        tokens.extend(paragraph.split())
+        ends.append(len(tokens))
+    return tokens, ends
+
+
+def quoted(tokens: list[str], ends: list[int]) -> list[bool]:
+    """Whether each token stands between an opening quotation mark and the next that closes
+    it, at any distance within its paragraph."""
+    out, begin = [False] * len(tokens), 0
+    for end in ends:
+        closes: dict[str, list[int]] = {}  # closing mark -> places, in order
+        for i in range(begin, end):
+            bare = tokens[i].rstrip(".,;:!?)")
+            if bare and bare[-1] in QUOTES:
+                closes.setdefault(bare[-1], []).append(i)
+        i = begin if closes else end
+        while i < end:
+            t = tokens[i].lstrip("(")
+            after = i + (len(t.rstrip(".,;:!?)")) < 2)  # a mark alone does not close itself
+            last = end
+            for mark in CLOSING.get(t[:1], ""):
+                places = closes.get(mark, ())
+                at = bisect_left(places, after)
+                last = min(last, places[at] if at < len(places) else end)
+            if last < end:
+                out[i:last + 1] = [True] * (last + 1 - i)
+                i = last
+            i += 1
+        begin = end
     return out
 
 
@@ -183,14 +205,14 @@ class Reader:
 
     def hits(self, text: str) -> list[tuple[int, float, bool, list[int]]]:
         """(edits, odds, quoted, context bins) of every hit."""
-        tokens = text.split()
+        tokens, ends = tokens_of(text)
         present = set(tokens)
         for t in present - self.clean:
             if t not in self.known:
                 self._look(t)
         out = []
         if not present.isdisjoint(self.known):
-            inside = quoted(tokens)
+            inside = quoted(tokens, ends)
             for i, t in enumerate(tokens):
                 if t in self.known:
                     around = (*tokens[max(0, i - WINDOW):i], *tokens[i + 1:i + 1 + WINDOW])
@@ -236,8 +258,8 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            tokens = text.split()
-            n[toxic].update({norm(t) for t, q in zip(tokens, quoted(tokens), strict=True) if not q} - {""})
+            tokens, ends = tokens_of(text)
+            n[toxic].update({norm(t) for t, q in zip(tokens, quoted(tokens, ends), strict=True) if not q} - {""})
         words = list(n[0].keys() | n[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[1][w] for w in words], pa.int64()),
                                           pa.array([n[0][w] for w in words], pa.int64())], names=["word", "toxic", "clean"])
@@ -307,6 +329,8 @@ def context_weights(rows: list) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``sample_rows`` labelled texts of the folds other than 0, copies left out.
 
+    The lexicon has every word and stem of these texts that passes the tests of odds and
+    ratio, so it is bounded by their words.
     Without texts of both kinds every score is below one half.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -333,7 +357,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     def strongest(df: DataFrame) -> list:
         ranked = df.withColumns({"odds": odds, "ratio": 2 * (part("toxic", share) + part("clean", 1 - share))})
-        return ranked.where((F.col("odds") >= MIN_ODDS) & (F.col("ratio") >= MIN_RATIO)).orderBy(F.col("ratio").desc(), "word").limit(MAX_TERMS).collect()
+        return ranked.where((F.col("odds") >= MIN_ODDS) & (F.col("ratio") >= MIN_RATIO)).orderBy(F.col("ratio").desc(), "word").collect()
 
     stems_all = (vocab.withColumn("size", F.explode(F.array(*[F.lit(k) for k in STEM_LENGTHS]))).where(F.length("word") >= F.col("size"))
                  .groupBy(F.expr("left(word, size)").alias("word"))
@@ -346,19 +370,20 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     if found:
         longer = F.exists(F.array(*[F.lit(t["word"]) for t in found]), lambda t: F.startswith(F.col("word"), t) & (F.col("word") != t))
         under = stems_all.where((F.col("clean") > F.col("toxic")) & longer)
-        spared = sorted(r["word"] for r in under.orderBy(F.col("clean").desc(), "word").limit(MAX_TERMS).select("word").collect())
+        spared = sorted(r["word"] for r in under.select("word").collect())
         model.spared = tuple(w for w in spared if not any(w != v and w.startswith(v) for v in spared))
         stem = F.get(F.filter(F.array(*[F.struct(F.lit(t["word"]).alias("s"), F.lit(t["toxic"] / (t["toxic"] + t["clean"])).alias("p")) for t in found]),
                         lambda t: F.startswith(F.col("word"), t["s"])), 0)
         used = vocab.where(F.col("toxic") + F.col("clean") >= OWN_USES).withColumn("stem", stem).where("stem IS NOT NULL")
-        for r in used.orderBy((F.col("toxic") + F.col("clean")).desc(), "word").limit(MAX_TERMS).collect():
+        for r in used.collect():
             # two uses' weight of the stem's own share
             toxic, clean = r["toxic"] + 2 * r["stem"]["p"], r["clean"] + 2 * (1 - r["stem"]["p"])
             model.own[r["word"]] = math.log((toxic + 0.05) / (n1 + 1)) - math.log((clean + 0.05) / (n0 + 1))
     words = [w for w in strongest(vocab) if not w["word"].startswith(tuple(s["word"] for s in found) or ("\0",))]
     model.terms, model.stems = [w["word"] for w in words], [s["word"] for s in found]
     model.odds = [r["odds"] for r in (*words, *found)]
-    # words of clean documents near a term are no misspellings of it
+    # words of clean documents near a term are no misspellings of it; those that toxic ones
+    # use far more often all the same are terms themselves, and found as such
     near = vocab.where("clean > 0").mapInArrow(_vocabulary_matches(model), vocab.schema)
     model.veto = frozenset(r["word"] for r in near.select("word").collect())
     hits = rows.select("text", "toxic").mapInArrow(
@@ -381,7 +406,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from labels of documents whose crc32 fold modulo 5 is not 0; rows with a
     null id or label teach nothing, and the higher of contradicting labels counts.
     Only the text enters a score.  Null ids are in fold 0, repeated rows come out
-    as often, other columns are ignored, empty tables give empty results; without
+    as often, very long texts are read whole, other columns are ignored, empty tables give empty results; without
     labelled texts of both kinds every score is below one half.
     """
     scored = score(docs, train(docs, labels))
