@@ -3,16 +3,17 @@
 Both run under ``groupBy(key).transformWithState(...)`` (``api="rows"``) or
 ``transformWithStateInPandas(...)`` (``api="frames"``) on the RocksDB state
 store, so state lives on the executors, partitioned by key, and is
-checkpointed with the query.  The per-key logic is shared: a key's rows of one
-micro-batch are reduced to numpy arrays (count, max, sorted times for gap
-detection) and the state keeps O(1) (editors) or O(history) (spikes) values
-per key plus the key's registered timer, so an unchanged timer costs no
-state-server call.
-
-Which API is faster depends on the key distribution: frames pay a pandas
-DataFrame per key, rows pay a Python object per row.  On the replays here
-(about two edits per editor and micro-batch) the two were within run-to-run
-noise of each other; frames are the choice when a few keys carry most rows.
+checkpointed with the query.  The state keeps O(1) (editors) or O(history)
+(spikes) values per editor or title.
+
+Every call to the state server is a round trip from Python, about a millisecond a
+key and micro-batch with the timer.  Editors are many with few edits each, so their key
+is a bucket of editors: a bucket's rows and its editors' open spans are arrays, worked on
+together, and it has one state value and one timer, that of its first deadline.  Titles
+are keyed one by one; an unchanged timer costs no state-server call.
+
+Frames pay a pandas DataFrame per key, rows pay a Python object per row: frames are the
+choice for editors, where a key has many rows; for titles either will do.
 Times cross the boundary as epoch milliseconds computed in the JVM; output
 millis are turned back into timestamps by the caller (``jobs.py``).
 """
@@ -21,9 +22,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,7 +38,7 @@ from tidewatch.operators.spikes import spike_step
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules[spike_step.__module__])
 
-EDITOR_STATE = "total long, last_ms long, span_ms long, timer_ms long"
+EDITOR_STATE = "user array<string>, total array<long>, last_ms array<long>, span_ms array<long>, timer_ms long"
 EDITOR_OUT = "user string, total_edits long, last_ms long, is_expired boolean, span_ms long"
 SPIKE_STATE = "hist array<long>, timer_ms long"
 SPIKE_OUT = ("article_title string, start_ms long, end_ms long, current_edit_count long, "
@@ -53,19 +56,11 @@ def _move_timer(handle: StatefulProcessorHandle, old_ms, new_ms: int) -> int:
 
 
 EDITOR_COLS = ["user", "total_edits", "last_ms", "is_expired", "span_ms"]
+EDITOR_BUCKETS = 64  # keys of the editor state
 SPIKE_COLS = ["article_title", "start_ms", "end_ms", "current_edit_count", "historical_average",
               "spike_multiplier", "is_spike"]
 
 
-def _editor_frame(rows: list[tuple]) -> pd.DataFrame:
-    users, totals, lasts, expired, spans = zip(*rows)
-    return pd.DataFrame({
-        "user": list(users), "total_edits": np.fromiter(totals, "int64", len(rows)),
-        "last_ms": np.fromiter(lasts, "int64", len(rows)), "is_expired": np.fromiter(expired, "bool", len(rows)),
-        "span_ms": np.fromiter(spans, "int64", len(rows)),
-    })
-
-
 def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int, counts: np.ndarray | None = None):
     """Strict-gap update on one key's sorted batch times (epoch ms), each standing for ``counts`` edits (one).
 
@@ -96,19 +91,73 @@ def split_spans(times: np.ndarray, total: int, last, span, idle_ms: int, counts:
     return closed, (cur_total, cur_last, cur_span)
 
 
+@dataclass
+class Spans:
+    """Spans of editors, a place of each array per span; ``who`` numbers the editors."""
+    who: np.ndarray
+    total: np.ndarray
+    last: np.ndarray
+    span: np.ndarray
+
+    def at(self, places: np.ndarray) -> Spans:
+        return Spans(self.who[places], self.total[places], self.last[places], self.span[places])
+
+
+def advance_spans(held: Spans, who: np.ndarray, times: np.ndarray, counts: np.ndarray, idle_ms: int,
+                  strict_gap: bool) -> tuple[Spans, Spans]:
+    """Update of many editors at once by a batch of (editor, epoch ms, edits) in any order.
+
+    ``held`` has the open span of editors 0, 1, ...; greater numbers in ``who`` are new
+    editors.  Returns the spans that closed and the open ones of the editors in the batch.
+    With ``strict_gap`` this is ``split_spans`` for each editor."""
+    k = len(held.who)
+    order = np.lexsort((times, who))
+    who, times, counts = who[order], times[order], counts[order]
+    first = np.ones(len(who), bool)
+    first[1:] = who[1:] != who[:-1]
+    known = who < k
+    slot = np.where(known, who, 0)
+    of_held = (lambda x, other: np.where(known, x[slot], other)) if k else (lambda x, other: other)
+    if strict_gap:
+        before = np.where(first, of_held(held.last, times), np.roll(times, 1))
+        gap = times - np.maximum(before, of_held(held.last, before)) >= idle_ms
+        gap &= ~first | known
+    else:
+        gap = np.zeros(len(who), bool)
+    starts = np.flatnonzero(first | gap)
+    ends = np.append(starts[1:], len(who)) - 1
+    goes_on = (first & known & ~gap)[starts]
+    total, last, span = np.add.reduceat(counts, starts), times[ends], times[starts]
+    if not strict_gap:
+        last = np.maximum(last, 0)  # a new editor starts from epoch 0
+    if k:
+        at = slot[starts]
+        total = total + np.where(goes_on, held.total[at], 0)
+        last = np.where(goes_on, np.maximum(last, held.last[at]), last)
+        span = np.where(goes_on, held.span[at], span)
+    runs = Spans(who[starts], total, last, span)
+    newest = np.append(first[starts][1:], True)
+    left = held.at(who[first & known & gap])
+    done = runs.at(~newest)
+    closed = Spans(*(np.concatenate([getattr(left, f.name), getattr(done, f.name)]) for f in fields(Spans)))
+    return closed, runs.at(newest)
+
+
 class EditorProcessor(StatefulProcessor):
     """Running edit count and last activity per editor, expired ``idle_ms`` of
     event time after the last edit (the watermark must pass the deadline).
 
-    Input rows are partial counts (event_ms, edits), one per task and second where the
-    stream was combined before the shuffle, so a hot editor costs no more rows than that.
+    The key is a bucket of editors (``pmod(xxhash64(user), buckets)``); its state value
+    holds the open spans of its editors as arrays and its timer stands at the first of
+    their deadlines.  Input rows are partial counts (user, event_ms, edits), one per task
+    and second where the stream was combined before the shuffle, so a hot editor costs no
+    more rows than that.
 
     ``strict_gap=False`` is the defined behaviour: every edit of a batch is added
-    to the running total whatever its gap -- a sum and a max per frame, so a
-    hot editor's rows are never held in memory.  ``strict_gap=True`` sorts the
-    key's batch times and closes the span at any gap of ``idle_ms`` or more,
-    emitting the old span as expired first; for in-order input its final rows
-    equal the batch twin ``editor_spans`` regardless of micro-batch boundaries.
+    to the running total whatever its gap.  ``strict_gap=True`` closes the span at any
+    gap of ``idle_ms`` or more, emitting the old span as expired first; for in-order
+    input its final rows equal the batch twin ``editor_spans`` regardless of
+    micro-batch boundaries.
     """
 
     def __init__(self, idle_ms: int, strict_gap: bool = False, frames: bool = False):
@@ -120,58 +169,57 @@ class EditorProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("editor", EDITOR_STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        user = key[0]
+    def _held(self) -> tuple[list, Spans, int | None]:
+        """The bucket's editors with an open span, the spans, and its timer."""
         cur = self.state.get()
-        if cur is not None:
-            total, last, span, timer = int(cur[0]), int(cur[1]), int(cur[2]), cur[3]
-        else:
-            total, last, span, timer = 0, None, None, None
-        out = []
-        if self.strict_gap:
-            if self.frames:
-                parts = [(pdf["event_ms"].to_numpy("int64"), pdf["edits"].to_numpy("int64")) for pdf in rows]
-                t, counts = (np.concatenate(c) for c in zip(*parts))
-            else:
-                pairs = [(r.event_ms, r.edits) for r in rows]
-                t, counts = (np.fromiter((p[k] for p in pairs), "int64", len(pairs)) for k in range(2))
-            order = np.argsort(t, kind="stable")
-            closed, (total, last, span) = split_spans(t[order], total, last, span, self.idle_ms, counts[order])
-            out += [(user, c_total, c_last, True, c_span) for c_total, c_last, c_span in closed]
+        if cur is None:
+            return [], Spans(*(np.zeros(0, "int64") for _ in range(4))), None
+        return list(cur[0]), Spans(np.arange(len(cur[0])), *(np.array(c, "int64") for c in cur[1:4])), cur[4]
+
+    def _keep(self, users: list, spans: Spans, timer) -> None:
+        timer = _move_timer(self.handle, timer, spans.last.min() + self.idle_ms)
+        self.state.update((users, spans.total.tolist(), spans.last.tolist(), spans.span.tolist(), timer))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        if self.frames:
+            parts = [(pdf["user"].tolist(), pdf["event_ms"].to_numpy("int64"), pdf["edits"].to_numpy("int64")) for pdf in rows]
+            names = [u for p in parts for u in p[0]]
+            times, counts = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
         else:
-            n, lo, hi = 0, None, None
-            if self.frames:
-                for pdf in rows:
-                    col = pdf["event_ms"].to_numpy("int64")
-                    n += int(pdf["edits"].sum())
-                    lo = int(col.min()) if lo is None else min(lo, int(col.min()))
-                    hi = int(col.max()) if hi is None else max(hi, int(col.max()))
-            else:
-                for r in rows:
-                    n += r.edits
-                    lo = r.event_ms if lo is None or r.event_ms < lo else lo
-                    hi = r.event_ms if hi is None or r.event_ms > hi else hi
-            total += n
-            base = 0 if last is None else last  # a new editor starts from epoch 0
-            last = max(base, hi) if hi is not None else base
-            span = span if span is not None else lo
-        timer = _move_timer(self.handle, timer, last + self.idle_ms)
-        self.state.update((total, last, span, timer))
-        out.append((user, total, last, False, span))
-        yield from self._emit(out)
-
-    def _emit(self, out: list[tuple]):
+            names, times, counts = zip(*[(r.user, r.event_ms, r.edits) for r in rows])
+            times, counts = np.array(times, "int64"), np.array(counts, "int64")
+        users, held, timer = self._held()
+        # editors are numbered in order of appearance: those held first, as they lie in the state
+        coded = pa.array([*users, *names], pa.string(), from_pandas=True).dictionary_encode("encode")
+        who = coded.indices.to_numpy()[len(users):].astype("int64")
+        users = coded.dictionary.to_pylist()
+        closed, now = advance_spans(held, who, times, counts, self.idle_ms, self.strict_gap)
+        spans = Spans(np.arange(len(users)), *(np.concatenate([c, np.zeros(len(users) - len(c), "int64")])
+                                               for c in (held.total, held.last, held.span)))
+        spans.total[now.who], spans.last[now.who], spans.span[now.who] = now.total, now.last, now.span
+        self._keep(users, spans, timer)
+        yield from self._emit(users, closed, True)
+        yield from self._emit(users, now, False)
+
+    def _emit(self, users: list, spans: Spans, expired: bool):
+        if not len(spans.who):
+            return
+        names = [users[i] for i in spans.who.tolist()]
         if self.frames:
-            yield _editor_frame(out)
+            yield pd.DataFrame(dict(zip(EDITOR_COLS, (names, spans.total, spans.last, np.full(len(names), expired), spans.span))))
         else:
-            for u, t, l, e, sp in out:
-                yield Row(user=u, total_edits=t, last_ms=l, is_expired=e, span_ms=sp)
+            for u, t, last, sp in zip(names, spans.total.tolist(), spans.last.tolist(), spans.span.tolist()):
+                yield Row(user=u, total_edits=t, last_ms=last, is_expired=expired, span_ms=sp)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        cur = self.state.get()
-        if cur is not None:
-            self.state.clear()  # the timer has fired; nothing left to delete
-            yield from self._emit([(key[0], int(cur[0]), int(cur[1]), True, int(cur[2]))])
+        users, held, _ = self._held()
+        over = held.last + self.idle_ms < timerValues.getCurrentWatermarkInMs()
+        stay = held.at(~over)
+        if len(stay.who):
+            self._keep([users[i] for i in stay.who.tolist()], stay, None)  # the timer has fired; nothing to delete
+        else:
+            self.state.clear()
+        yield from self._emit(users, held.at(over), True)
 
     def close(self) -> None:
         pass

@@ -34,6 +34,7 @@ PERIOD = "1 day"
 REPLAY_VERSION = "v3"  # bump when the replay layout changes
 STATE_PARTITIONS = 8   # shuffle width of the replayed queries' state at least
 STATE_BYTES = 64 << 20  # of the events' files, for one state partition more
+BUCKETS_PER_PARTITION = 4  # of the editor state
 RUN_STATS: dict[str, dict] = {}  # name -> progress summary of its last drained run
 
 # The replay drains a month of events in about a minute of wall clock, so under
@@ -53,6 +54,11 @@ def _files(spark: SparkSession, sf_dir: str) -> list:
             .select("path", "length", "modificationTime").orderBy("path").collect())
 
 
+def _width(spark: SparkSession, sf_dir: str) -> int:
+    """State partitions of a replay: a task per core at least, more as the events' files grow."""
+    return max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism, sum(r.length for r in _files(spark, sf_dir)) // STATE_BYTES)
+
+
 def _delay():
     """Days by which a change arrives late in the replays out of order: one in twenty, one to three."""
     return F.when(F.col("id") % 20 == 0, 1 + F.floor(F.col("id") / 20) % 3).otherwise(0)
@@ -113,7 +119,9 @@ def _run(spark, sf_dir, name, starter, period: str = PERIOD, kind: str = "in ord
     root = scratch_path(spark, name)
     seen = _Progress(stop_after)
     spark.streams.addListener(seen)
-    width = max(STATE_PARTITIONS, sum(r.length for r in _files(spark, sf_dir)) // STATE_BYTES)
+    width = _width(spark, sf_dir)
+    if starter is start_editors:
+        kw["buckets"] = BUCKETS_PER_PARTITION * width
 
     def start():
         q = starter(src, f"{root}/table", f"{root}/checkpoint", trigger=AVAILABLE_NOW, **kw)
@@ -201,8 +209,9 @@ def q_editors_restart(spark, sf_dir):
     """The editors' open spans, read from the state of a job that was stopped on the way and started again."""
     root = _run(spark, sf_dir, "editors_restart", start_editors, kind="open", stop_after=7, strict_gap=True)
     state = spark.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", "editor").load()
-    return to_ntz(state.select(F.col("key.user").alias("user"), F.timestamp_millis("value.span_ms").alias("span_start"),
-                               F.col("value.total").alias("total_edits"), F.timestamp_millis("value.last_ms").alias("last_activity")))
+    spans = state.selectExpr("inline(arrays_zip(value.user, value.total, value.last_ms, value.span_ms)) AS (user, total, last_ms, span_ms)")
+    return to_ntz(spans.select("user", F.timestamp_millis("span_ms").alias("span_start"), F.col("total").alias("total_edits"),
+                               F.timestamp_millis("last_ms").alias("last_activity")))
 
 
 def _editors_log(spark, sf_dir, name: str, strict_gap: bool = True, period: str = PERIOD) -> DataFrame:
@@ -294,7 +303,7 @@ def q_active_board_table(spark, sf_dir):
 
 def q_active_board_current(spark, sf_dir):
     """Q2 on the table of each editor's latest row that the job keeps, so no snapshot is looked for."""
-    root = _run(spark, sf_dir, "active_board_current", start_editors, kind="open", strict_gap=True, current=STATE_PARTITIONS)
+    root = _run(spark, sf_dir, "active_board_current", start_editors, kind="open", strict_gap=True, current=_width(spark, sf_dir))
     return to_ntz(active_board(read_current(spark, f"{root}/table"), latest=False))
 
 
