@@ -10,10 +10,12 @@ Two plans with equal results:
   the 20x fan-out happens after the data has been reduced to one row per
   non-empty bucket.  Costs a second (much smaller) shuffle.
 
-* ``chained`` (streams): two windowed aggregates in a row, per slide and then per
-  window.  State holds a row per slide for the watermark's length and the open windows
-  of emitted slides, and an edit is expanded after it was counted.  An edit that comes
-  when its slide is closed is late as a whole; ``direct`` still counts it in those of
+* ``chained`` (streams): two windowed aggregates in a row, per slide and then per block
+  of two window lengths, one starting every window length.  State holds a row per slide
+  for the watermark's length and the counts of emitted slides in two blocks each, not in
+  20 windows; a block that is closed is summed into the windows that start in its first
+  half, so these come up to a window length later than ``direct`` emits them.  An edit that
+  comes when its slide is closed is late as a whole; ``direct`` still counts it in those of
   its windows that are open.
 
 A hot title cannot pin one task in either plan: the final grouping key
@@ -58,11 +60,21 @@ def trending(events: DataFrame, params: Params = DEFAULTS, method: str | None =
 def _chained(events: DataFrame, params: Params, time_col: str) -> DataFrame:
     if duration_us(params.trending_window) % duration_us(params.trending_slide):
         raise ValueError("windows must consist of whole slides")
+    size, slide = duration_us(params.trending_window), duration_us(params.trending_slide)
     per_slide = events.groupBy(F.window(time_col, params.trending_slide).alias("slide"), "title", "server_name").agg(
         F.count(F.lit(1)).alias("n"))
-    summed = per_slide.groupBy(F.window(F.window_time("slide"), params.trending_window, params.trending_slide).alias("window"),
-                               "title", "server_name").agg(F.sum("n").alias("edit_count"))
-    return summed.select(*window_bounds("window"), F.col("title").alias("article_title"), "server_name", "edit_count")
+    # all windows that start in the first half of a block of two window lengths lie in it
+    block = F.window(F.window_time("slide"), f"{2 * size} microseconds", f"{size} microseconds")
+    slides = F.collect_list(F.struct(F.unix_micros("slide.start").alias("s"), "n"))
+    blocks = per_slide.groupBy(block.alias("block"), "title", "server_name").agg(slides.alias("slides"))
+    ws = F.unix_micros("block.start") + F.col("k") * F.lit(slide)
+    counted = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(size // slide - 1))).alias("k")).select(
+        ws.alias("ws"), "title", "server_name",
+        F.aggregate("slides", F.lit(0).cast("long"),
+                    lambda total, x: total + F.when((x["s"] >= ws) & (x["s"] < ws + F.lit(size)), x["n"]).otherwise(0)).alias("edit_count"))
+    return counted.where("edit_count > 0").select(
+        F.timestamp_micros("ws").alias("window_start"), F.timestamp_micros(F.col("ws") + F.lit(size)).alias("window_end"),
+        F.col("title").alias("article_title"), "server_name", "edit_count")
 
 
 def _prebucketed(events: DataFrame, params: Params, time_col: str) -> DataFrame:
