@@ -106,7 +106,7 @@ class Index:
 
 def _search(k: int):
     def run(codes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "near": []})
+        empty = pd.DataFrame({"query": [], "near": []}, dtype=object)
         if not len(codes) or not len(queries):
             return empty
         bits = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(codes), -1)
