@@ -64,6 +64,69 @@ def test_gradients_equal_differences():
             assert abs((up - down) / (2 * e) - g[name][at]) < 1e-4 * max(1, abs(g[name][at]))
 
 
+def test_far_logits_keep_their_gradients():
+    lay, p = small()
+    rng = np.random.default_rng(7)
+    p["u"] *= 2000
+    p["wc"] *= 2000
+    x, y = rng.integers(0, lay.symbols, (2, 5, 3))
+    h = rng.normal(0, 0.5, (3, gru.HIDDEN))
+    loss, g, _ = gru.gradients(p, lay, lay.class_of(), x, y, np.ones((5, 3), bool), h)
+    expected = 0.0
+    for t in range(5):
+        h = gru.step(p, x[t], h)
+        for i in range(3):
+            c = lay.class_of()[y[t, i]]
+            lo, hi = lay.first[c], lay.first[c + 1]
+            for logits, at in ((h[i] @ p["wc"] + p["bc"], c), (p["u"][lo:hi] @ h[i] + p["b"][lo:hi], y[t, i] - lo)):
+                logits = logits - logits.max()
+                expected -= math.log(np.exp(logits[at]) / np.exp(logits).sum() + 1e-30)
+    assert abs(loss - expected) < 1e-6 * expected and all(np.isfinite(v).all() for v in g.values())
+
+
+def test_training_leaves_out_texts_that_have_ended(monkeypatch):
+    """Windows are as wide as texts are left, whatever the order of the texts."""
+    lay, p = small()
+    widths, whole = [], gru.gradients
+
+    def seen(p, lay, class_of, x, *rest):
+        widths.append(x.shape[1])
+        return whole(p, lay, class_of, x, *rest)
+
+    monkeypatch.setattr(gru, "gradients", seen)
+    rng = np.random.default_rng(8)
+    lengths = [5, 1, 128, 40, 33, 32, 100]
+    batch = [rng.integers(0, lay.symbols, n + 1).astype(np.uint16) for n in lengths]
+    ways = []
+    for order in (batch, batch[::-1]):
+        q = {k: v.copy() for k, v in p.items()}
+        assert gru.train(q, lay, [order], 0.01) == sum(lengths)
+        ways.append(q)
+    assert widths == [7, 4, 2, 2] * 2
+    assert all(np.allclose(ways[0][k], ways[1][k], atol=1e-8) for k in p)
+
+
+def test_outputs_of_long_texts_are_computed_for_many_steps_at_once(monkeypatch):
+    lay, p = small()
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    calls, whole = [], gru.log_probs
+
+    def seen(p, lay, class_of, h, y, *rest):
+        calls.append(len(y))
+        return whole(p, lay, class_of, h, y, *rest)
+
+    monkeypatch.setattr(gru, "log_probs", seen)
+    monkeypatch.setattr(gru, "SIDE", 2)
+    monkeypatch.setattr(gru, "OUTPUT_ROWS", 1000)
+    rng = np.random.default_rng(9)
+    off = np.array([0, 3000, 3001, 3001, 3501])
+    sym = rng.integers(0, lay.symbols, off[-1]).astype(np.int32)
+    got = gru.score(p, lay, sym, off)
+    assert sum(calls) == off[-1] and len(calls) == 4 and min(calls) > 400
+    monkeypatch.setattr(gru, "SIDE", 100)
+    assert np.allclose(got, gru.score(p, lay, sym, off), rtol=1e-5) and got[2] == 0
+
+
 def test_training_learns_order():
     counts = np.full(20, 100)
     lay = gru.layout(counts, 4, 1)

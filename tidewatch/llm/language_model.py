@@ -77,7 +77,6 @@ class Table:
         self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
         lead = (self.keys >> self.shift).astype(np.int64)
         self.first = np.searchsorted(lead, np.arange((1 << (64 - int(self.shift))) + 1)).astype(np.int32)
-        self.longest = int(np.diff(self.first).max()) if len(keys) else 0
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Index into the keys as given, or -1."""
@@ -86,10 +85,14 @@ class Table:
             return out
         lead = (h >> self.shift).astype(np.int64)
         at, stop = self.first[lead], self.first[lead + 1]
-        for k in range(self.longest):
-            i = at + k
-            hit = (i < stop) & (self.keys[np.minimum(i, len(self.keys) - 1)] == h)
-            out[hit] = self.order[i[hit]]
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            i = at[left]
+            hit = self.keys[i] == h[left]
+            out[left[hit]] = self.order[i[hit]]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
         return out
 
 
